@@ -1,0 +1,5 @@
+"""No streaming operators.
+
+The covered workload re-reads yearly files and overwrites its outputs; it has no
+watermarks, windows over event time or keyed state, so there is nothing to offer here.
+"""
