@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -27,15 +28,24 @@ def local_session(cores: int | str = 8, app: str = "edugauge", **conf: str) -> S
     return builder.getOrCreate()
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
+    Only where none is named (tests on one machine) a temporary one is chosen.
+    """
+    named = spark.conf.get("spark.checkpoint.dir", None)
+    return named or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="edugauge-")
+
+
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """Fresh path for an intermediate table in the shared folder."""
+    return f"{shared_folder(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Materialise ``df`` in the shared checkpoint folder, so a lost executor costs a re-read
     and not a recomputation of everything upstream.
-
-    The folder is the one the cluster names in ``spark.checkpoint.dir``; only where none is
-    set (tests on one machine) a temporary one is chosen.
     """
     context = df.sparkSession.sparkContext
     if context.getCheckpointDir() is None:
-        folder = df.sparkSession.conf.get("spark.checkpoint.dir", None)
-        context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="edugauge-checkpoint-"))
+        context.setCheckpointDir(shared_folder(df.sparkSession))
     return df.checkpoint(eager=True)

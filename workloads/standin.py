@@ -14,7 +14,7 @@ from string import Template
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edugauge.functions.dictionaries import GOAL_YEARS, STATE_CODES
+from edugauge.functions.dictionaries import GOAL_YEARS, STATE_CODES, STATE_REGIONS
 from edugauge.plans import bronze, gold, silver
 
 SPARK = {"explode": "explode", "array": "array", "elem": "element_at", "idiv": "div"}
@@ -66,7 +66,7 @@ _CTES: dict[str, str] = {
     $elem($array({_CODES}), n.n_nationkey + 1) AS couf,
     n.n_nationkey AS nk, c.c_custkey AS ck, c.c_name, c.c_mktsegment,
     (100000 + c.c_custkey) * 10 + c.c_custkey % 10 AS mun,
-    l.l_orderkey * 10 + l.l_linenumber AS id_aluno, l.l_suppkey AS escola,
+    l.l_orderkey * 10 + l.l_linenumber AS id_aluno, l.l_suppkey AS escola, l.l_partkey AS partkey,
     $elem($array(1, 2, 3, 3, 3, 2, 4), l.l_linenumber) AS dep,
     (l.l_partkey % 97 = 0) AS incompleto,
     CASE WHEN l.l_suppkey % 50 = 0 THEN 3 ELSE 2 END AS serie,
@@ -76,6 +76,17 @@ _CTES: dict[str, str] = {
     cast(l.l_quantity as bigint) * 625 AS peso
   FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
     JOIN customer c ON o.o_custkey = c.c_custkey JOIN nation n ON c.c_nationkey = n.n_nationkey""",
+    "pupil": """
+  SELECT ano, uf, couf, nk, ck, mun, id_aluno, escola, serie, dep, incompleto, avaliado,
+    CASE WHEN avaliado THEN cents / cast(100 as double) END AS score,
+    CASE WHEN avaliado THEN peso / cast(10000 as double) END AS weight,
+    CASE WHEN avaliado AND cents >= 74300 THEN 1 ELSE 0 END AS target,
+    cast(id_aluno as string) || '-' || cast(partkey as string) || '-' || cast(escola as string) AS pupil_key
+  FROM pupil_base""",
+    "scored": """
+  SELECT pupil_key, uf, dep, ano, target AS label, (cents_mix % 1000) / cast(1000 as double) AS score,
+    CASE WHEN cents_mix % 1000 >= 500 THEN 1 ELSE 0 END AS prediction, coalesce(weight, 1) AS weight
+  FROM (SELECT p.*, (ck * 37 + escola * 11 + dep * 101 + target * 173) AS cents_mix FROM pupil p) s""",
     "raw_aluno": f"""
   SELECT cast(ano as string) AS NU_ANO_AVALIACAO, cast(couf as string) AS CO_UF,
     ' ' || lower(uf) || ' ' AS SG_UF, cast(id_aluno as string) AS ID_ALUNO, cast(serie as string) AS TP_SERIE,
@@ -160,9 +171,13 @@ def ctes(dialect: dict[str, str], extra: str = "") -> str:
     return "WITH " + Template(body).substitute(dialect) + (",\n" + extra if extra else "")
 
 
+_REGION_ROWS = ", ".join(f"('{state}', '{region}')" for state, region in STATE_REGIONS.items())
+
+
 def duck(sql: str, extra: str = "") -> str:
-    """DuckDB text that may name any stand-in relation."""
-    return ctes(DUCK, extra) + "\n" + sql
+    """DuckDB text that may name any stand-in relation, and ``regions(uf, regiao)``."""
+    lookups = f"regions AS (SELECT * FROM (VALUES {_REGION_ROWS}) t(uf, regiao))"
+    return ctes(DUCK, lookups + (",\n" + extra if extra else "")) + "\n" + sql
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
