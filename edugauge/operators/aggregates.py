@@ -162,7 +162,7 @@ def describe_exact(df: DataFrame, column: str, digits: int = 1) -> DataFrame:
         F.max(value).alias("max"),
     )
     quartiles = exact_quantiles(df, [column], [0.25, 0.5, 0.75]).select(
-        F.concat(F.format_number(F.col("p") * 100, "0"), F.lit("%")).alias("stat"), "value"
+        F.concat((F.col("p") * 100).cast("int").cast("string"), F.lit("%")).alias("stat"), "value"
     )
     rows = _long(moments, names, "stat", "value").unionByName(quartiles)
     return rows.withColumn("value", round_half_even("value", digits))

@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("columns",)
+MODULES = ("columns", "tables", "statistics")
 
 
 def load_all() -> None:
