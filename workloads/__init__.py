@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("columns", "tables", "statistics")
+MODULES = ("columns", "tables", "statistics", "scoring", "samples")
 
 
 def load_all() -> None:
