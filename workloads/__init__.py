@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("columns", "tables", "statistics", "scoring", "samples")
+MODULES = ("columns", "tables", "statistics", "scoring", "samples", "layers")
 
 
 def load_all() -> None:
