@@ -8,7 +8,7 @@ from edugauge import functions as fn
 from edugauge.functions.dictionaries import GOAL_YEARS
 from edugauge.plans import silver as silver_plan
 from workloads.registry import query
-from workloads.standin import duck, gold_frames, silver_frames
+from workloads.standin import duck, gold_frame, silver_frame, silver_frames
 
 _TITLE = (
     "list_aggregate(list_transform(regexp_extract_all(lower({c}), '(\\p{{L}}+|[^\\p{{L}}]+)'), "
@@ -105,7 +105,7 @@ _STAMPS = ["DT_PROCESSAMENTO", "TS_PROCESSAMENTO"]
 def _silver(name, table, sql_name, drop=()):
     @query(name, duck(f"SELECT * FROM {sql_name}", _SILVER))
     def run(spark, sf):
-        return silver_frames(spark, sf)[table].drop(*_STAMPS, *drop)
+        return silver_frame(spark, sf, table).drop(*_STAMPS, *drop)
 
     return run
 
@@ -159,7 +159,7 @@ LEFT JOIN externa x ON a.CO_MUNICIPIO = x.CO_MUNICIPIO""",
     ),
 )
 def ft_machine_learning(spark, sf):
-    fact = gold_frames(spark, sf)["FT_MACHINE_LEARNING"]
+    fact = gold_frame(spark, sf, "FT_MACHINE_LEARNING")
     return fact.withColumn("MEDIA_INSE", fn.round_half_even("MEDIA_INSE", 6)).drop(*_STAMPS)
 
 
@@ -206,7 +206,7 @@ FROM gaps""",
     ),
 )
 def ft_indicador_municipio(spark, sf):
-    return gold_frames(spark, sf)["FT_INDICADOR_MUNICIPIO"].drop(*_STAMPS)
+    return gold_frame(spark, sf, "FT_INDICADOR_MUNICIPIO").drop(*_STAMPS)
 
 
 @query(
@@ -222,7 +222,7 @@ FROM (SELECT *, round_even(PC_ALUNO_ALFABETIZADO - coalesce(META_ANO_AVALIACAO,
     ),
 )
 def meta_vs_resultado(spark, sf):
-    return gold_frames(spark, sf)["FT_INDICADOR_MUNICIPIO_META_VS_RESULTADO"].drop(*_STAMPS)
+    return gold_frame(spark, sf, "FT_INDICADOR_MUNICIPIO_META_VS_RESULTADO").drop(*_STAMPS)
 
 
 _N = [f"PC_ALUNO_NIVEL_{i}_LP" for i in range(9)]
@@ -242,4 +242,4 @@ FROM (SELECT *, round_even({_N[0]} + {_N[1]}, 2) AS PC_PERFIL_EXTREMA_DEFASAGEM,
     ),
 )
 def analise_niveis(spark, sf):
-    return gold_frames(spark, sf)["ANALISE_NIVEIS_MUNICIPIO"].drop(*_STAMPS)
+    return gold_frame(spark, sf, "ANALISE_NIVEIS_MUNICIPIO").drop(*_STAMPS)

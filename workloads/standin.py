@@ -8,6 +8,7 @@ after the raw rows is computed independently. Everything is derived from the who
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 from string import Template
 
@@ -165,10 +166,25 @@ _CTES: dict[str, str] = {
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events", "documents", "labels")
 
 
-def ctes(dialect: dict[str, str], extra: str = "") -> str:
-    """The derivation as a WITH clause."""
-    body = ",\n".join(f"{name} AS ({text})" for name, text in _CTES.items())
-    return "WITH " + Template(body).substitute(dialect) + (",\n" + extra if extra else "")
+def _needed(text: str) -> list[str]:
+    """Names of the derivations that ``text`` uses, directly or through others."""
+    seen: set[str] = set()
+    open_texts = [text]
+    while open_texts:
+        current = open_texts.pop()
+        for name, body in _CTES.items():
+            if name not in seen and re.search(rf"\b{name}\b", current):
+                seen.add(name)
+                open_texts.append(body)
+    return [name for name in _CTES if name in seen]
+
+
+def ctes(dialect: dict[str, str], sql: str, extra: str = "") -> str:
+    """``sql`` with the derivations it needs in a WITH clause."""
+    parts = [f"{name} AS ({_CTES[name]})" for name in _needed(f"{sql}\n{extra}")]
+    text = Template(",\n".join(parts)).substitute(dialect)
+    text = ",\n".join(part for part in (text, extra) if part)
+    return f"WITH {text}\n{sql}"
 
 
 _REGION_ROWS = ", ".join(f"('{state}', '{region}')" for state, region in STATE_REGIONS.items())
@@ -177,7 +193,7 @@ _REGION_ROWS = ", ".join(f"('{state}', '{region}')" for state, region in STATE_R
 def duck(sql: str, extra: str = "") -> str:
     """DuckDB text that may name any stand-in relation, and ``regions(uf, regiao)``."""
     lookups = f"regions AS (SELECT * FROM (VALUES {_REGION_ROWS}) t(uf, regiao))"
-    return ctes(DUCK, lookups + (",\n" + extra if extra else "")) + "\n" + sql
+    return ctes(DUCK, sql, lookups + (",\n" + extra if extra else ""))
 
 
 def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
@@ -186,23 +202,36 @@ def read(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 def relation(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """One stand-in relation as a lazy Spark frame."""
+    text = ctes(SPARK, f"SELECT * FROM {name}")
     for table in ("nation", "customer", "orders", "lineitem"):
-        read(spark, sf, table).createOrReplaceTempView(table)
-    return spark.sql(ctes(SPARK) + f"\nSELECT * FROM {name}")
+        if re.search(rf"\b{table}\b", text):
+            read(spark, sf, table).createOrReplaceTempView(table)
+    return spark.sql(text)
+
 
+def silver_frame(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """One silver table through its bronze step."""
+    at = F.lit(PROCESSED_AT)
+    if table == "TS_ALUNO":
+        return silver.pupils(bronze.pupils(relation(spark, sf, "raw_aluno"), at))
+    if table == "TS_MUNICIPIO":
+        return silver.municipalities(bronze.municipalities(relation(spark, sf, "raw_municipio"), "ordem", at))
+    if table == "TS_ESTADO":
+        return silver.states(bronze.states(relation(spark, sf, "raw_estado"), "ordem", at))
+    if table == "METAS_BR":
+        return silver.national_goals(bronze.national_goals(relation(spark, sf, "sheet_uf"), at))
+    if table == "METAS_UF":
+        return silver.state_goals(bronze.state_goals(relation(spark, sf, "sheet_uf"), at))
+    if table == "METAS_MUNICIPIO":
+        return silver.municipality_goals(bronze.municipality_goals(relation(spark, sf, "sheet_municipio"), at))
+    raise KeyError(table)
 
-def raw_frames(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return {
-        "pupils": relation(spark, sf, "raw_aluno"),
-        "municipalities": relation(spark, sf, "raw_municipio"),
-        "states": relation(spark, sf, "raw_estado"),
-        "state_sheet": relation(spark, sf, "sheet_uf"),
-        "municipality_sheet": relation(spark, sf, "sheet_municipio"),
-    }
+
+SILVER_TABLES = ("TS_ALUNO", "TS_MUNICIPIO", "TS_ESTADO", "METAS_BR", "METAS_UF", "METAS_MUNICIPIO")
 
 
 def silver_frames(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return silver.build(bronze.build(raw_frames(spark, sf), order="ordem", processed_at=F.lit(PROCESSED_AT)))
+    return {table: silver_frame(spark, sf, table) for table in SILVER_TABLES}
 
 
 def external_frame(spark: SparkSession, sf: str) -> DataFrame:
@@ -211,5 +240,18 @@ def external_frame(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def gold_frames(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    return gold.build(silver_frames(spark, sf), external_frame(spark, sf))
+def gold_frame(spark: SparkSession, sf: str, table: str) -> DataFrame:
+    """One gold table from the silver tables it needs."""
+
+    def need(*tables: str) -> list[DataFrame]:
+        return [silver_frame(spark, sf, t) for t in tables]
+
+    if table == "FT_MACHINE_LEARNING":
+        return gold.pupil_fact(*need("TS_ALUNO", "TS_MUNICIPIO", "TS_ESTADO"), external_frame(spark, sf))
+    if table == "FT_INDICADOR_MUNICIPIO":
+        return gold.municipality_indicator(*need("TS_MUNICIPIO", "TS_ESTADO", "METAS_BR", "METAS_UF", "METAS_MUNICIPIO"))
+    if table == "FT_INDICADOR_MUNICIPIO_META_VS_RESULTADO":
+        return gold.goals_vs_results(*need("TS_MUNICIPIO", "METAS_MUNICIPIO"))
+    if table == "ANALISE_NIVEIS_MUNICIPIO":
+        return gold.level_analysis(*need("TS_MUNICIPIO"))
+    raise KeyError(table)
