@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("columns", "tables", "statistics", "scoring", "samples", "layers")
+MODULES = ("columns", "tables", "statistics", "scoring", "samples", "layers", "models")
 
 
 def load_all() -> None:
