@@ -45,8 +45,8 @@ def tolerant_double(c) -> Column:
 
     The JVM parser accepts ``1d`` / ``1f`` as numbers, so a trailing type letter is refused.
     """
-    text = strip(_col(c).cast("string"))
-    typed = F.lower(F.right(text, F.lit(1))).isin("d", "f")
+    text = F.rtrim(_col(c).cast("string"))
+    typed = text.endswith("d") | text.endswith("D") | text.endswith("f") | text.endswith("F")
     return F.nullif(F.when(~typed, text.try_cast("double")), F.lit(float("nan")))
 
 

@@ -5,10 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# ``(?U)`` makes ``\s`` cover every Unicode space (NBSP included); the information
-# separators are not Unicode spaces but are trimmed as well.
-_EDGE_SPACE = r"(?U)^[\s\x1c-\x1f]+|[\s\x1c-\x1f]+$"
-_LETTER_RUNS = r"(\p{L}+|[^\p{L}]+)"
+# Every character that counts as white space at the edge of a text
+# (controls, information separators, NEL, NBSP and the Unicode spaces).
+EDGE_SPACE = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
+_MARK = "\x01 "
 
 
 def _col(c) -> Column:
@@ -16,17 +19,21 @@ def _col(c) -> Column:
 
 
 def strip(c) -> Column:
-    """Trim every kind of space at both ends (``F.trim`` removes U+0020 only)."""
-    return F.regexp_replace(_col(c), _EDGE_SPACE, "")
+    """Trim every kind of space at both ends (``F.trim`` alone removes U+0020 only).
+
+    A character-set trim looks at the edges only; a pattern would walk the whole text.
+    """
+    return F.btrim(_col(c), F.lit(EDGE_SPACE))
 
 
 def title_case(c) -> Column:
     """Capitalise each run of letters: a word restarts after *any* non-letter.
 
-    ``initcap`` alone restarts after a space only, so ``d'água`` would stay ``D'água``.
+    ``initcap`` restarts after a space only, so ``d'água`` would stay ``D'água``. Each other
+    non-letter is followed by a marked space for the time of the call.
     """
-    runs = F.regexp_extract_all(F.lower(_col(c)), F.lit(_LETTER_RUNS), 1)
-    return F.array_join(F.transform(runs, lambda run: F.initcap(run)), "")
+    marked = F.regexp_replace(_col(c), r"([^\p{L} ])", "$1" + _MARK)
+    return F.replace(F.initcap(marked), F.lit(_MARK), F.lit(""))
 
 
 def concat_key(*cols) -> Column:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from edugauge.functions.numeric import round_half_even
 
-RANGE_BUCKETS = 200
+RANGE_BUCKETS = 256
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -88,12 +88,17 @@ def running_totals(
     cuts = base.groupBy("_by").agg(
         F.percentile_approx(order, probabilities, 10 * buckets).alias("_cuts")
     )
-    # One row per `by` value with at most `buckets` numbers each: a bounded broadcast.
-    placed = (
-        base.join(F.broadcast(cuts.withColumnRenamed("_by", "_cut_by")), F.col("_by").eqNullSafe(F.col("_cut_by")))
-        .withColumn("_range", F.size(F.filter("_cuts", lambda cut: cut < F.col(order))))
-        .drop("_cuts", "_cut_by")
-    )
+    # One row per `by` value with fewer than `buckets` numbers each: a bounded broadcast.
+    placed = base.join(
+        F.broadcast(cuts.withColumnRenamed("_by", "_cut_by")), F.col("_by").eqNullSafe(F.col("_cut_by"))
+    ).withColumn("_range", F.lit(0))
+    # Number of cuts below the value by halving: one generated comparison per step.
+    step = 1 << ((buckets - 1).bit_length() - 1)
+    while step:
+        above = F.get("_cuts", F.col("_range") + (step - 1)) < F.col(order)
+        placed = placed.withColumn("_range", F.when(above, F.col("_range") + step).otherwise(F.col("_range")))
+        step >>= 1
+    placed = placed.drop("_cuts", "_cut_by")
     direction = F.desc if descending else F.asc
     sums = {new: f"_sum_{i}" for i, new in enumerate(totals)}
     ranges = placed.groupBy("_by", "_range").agg(

@@ -21,10 +21,9 @@ KEYS = ("ANO_REFERENCIA", "CO_MUNICIPIO")
 
 
 def split(goals_vs_results: DataFrame, external: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Train on one label year, test on the next; both stored."""
-    frame = municipal.labelled(municipal.lag_dataset(goals_vs_results, external))
-    train, test = sampling.temporal_split(frame, "ANO_REFERENCIA", TRAIN_YEAR, TEST_YEAR)
-    return cut_lineage(train), cut_lineage(test)
+    """Train on one label year, test on the next, from one stored frame."""
+    frame = cut_lineage(municipal.labelled(municipal.lag_dataset(goals_vs_results, external)))
+    return sampling.temporal_split(frame, "ANO_REFERENCIA", TRAIN_YEAR, TEST_YEAR)
 
 
 def goal_model(train: DataFrame, test: DataFrame, forest: dict | None = None) -> tuple[dict[str, DataFrame], models.Fitted]:

@@ -28,9 +28,13 @@ def year_frame(fact: DataFrame, year: int = MODEL_YEAR, keys: Sequence[str] = KE
 
 
 def split(fact: DataFrame, year: int = MODEL_YEAR, keys: Sequence[str] = KEYS) -> tuple[DataFrame, DataFrame]:
-    """Stratified train/test frames, stored: every fit reads them again."""
-    train, test = sampling.stratified_split(year_frame(fact, year, keys), "label", keys, TEST_FRACTION, SEED)
-    return cut_lineage(train), cut_lineage(test)
+    """Stratified train/test frames. The narrow frame is stored before it is ranked and once
+    more with its part, because every fit reads it again."""
+    frame = cut_lineage(year_frame(fact, year, keys))
+    parts = cut_lineage(
+        sampling.stratified_part(frame, "label", keys, fraction=TEST_FRACTION, seed=SEED, column="is_test")
+    )
+    return parts.filter(~F.col("is_test")).drop("is_test"), parts.filter("is_test").drop("is_test")
 
 
 def compare(train: DataFrame, test: DataFrame, forest: dict | None = None) -> dict[str, DataFrame]:

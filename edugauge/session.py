@@ -9,21 +9,34 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+# Settings worth having on any cluster. The JVM does not compile methods above 8000 bytes of
+# bytecode, so a wide projection fused into one larger method runs interpreted; with the limit
+# Spark generates smaller methods for such a stage instead.
+RECOMMENDED = {
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
+}
+
+
+_own_folder: str | None = None
+
+
 def local_session(cores: int | str = 8, app: str = "edugauge", **conf: str) -> SparkSession:
     """Session for tests and the bench. A cluster brings its own session instead."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
         .config("spark.sql.shuffle.partitions", str(cores) if str(cores).isdigit() else "8")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.adaptive.enabled", "true")
         .config("spark.ui.enabled", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", os.environ.get("EDUGAUGE_DRIVER_MEMORY", "8g"))
         .config("spark.driver.bindAddress", "127.0.0.1")
         .config("spark.driver.host", "127.0.0.1")
     )
-    for key, value in conf.items():
+    for key, value in {**RECOMMENDED, **conf}.items():
         builder = builder.config(key, value)
     return builder.getOrCreate()
 
@@ -32,8 +45,13 @@ def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
     Only where none is named (tests on one machine) a temporary one is chosen.
     """
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    return named or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="edugauge-")
+    global _own_folder
+    named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if named:
+        return named
+    if _own_folder is None:
+        _own_folder = tempfile.mkdtemp(prefix="edugauge-")
+    return _own_folder
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
@@ -42,10 +60,11 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` in the shared checkpoint folder, so a lost executor costs a re-read
-    and not a recomputation of everything upstream.
+    """Store ``df`` as a table in the shared folder and read it back.
+
+    A lost executor then costs a re-read, not a recomputation of everything upstream, and later
+    passes read only the columns they use.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_folder(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "stored")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

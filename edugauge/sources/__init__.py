@@ -9,6 +9,7 @@ from edugauge.sources.readers import (
     read_sheet,
     read_table,
     read_yearly,
+    spread,
     union_aligned,
 )
 from edugauge.sources.writers import (
@@ -22,6 +23,6 @@ from edugauge.sources.writers import (
 
 __all__ = [
     "INGEST_ORDER", "read_csv", "read_delimited", "read_report", "read_sharded", "read_sheet",
-    "read_table", "read_yearly", "union_aligned",
+    "read_table", "read_yearly", "spread", "union_aligned",
     "log_counts", "shard_row_limit", "stamp", "write_report", "write_sharded", "write_table",
 ]

@@ -115,6 +115,16 @@ def read_table(spark: SparkSession, layer: str, name: str, columns: Sequence[str
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Even out a scan that has fewer splits than the cluster has cores.
+
+    One Parquet row group is one task however many cores there are. A scan with enough splits,
+    which is every large table, is returned unchanged: no shuffle is added at scale.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+
+
 def read_report(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """Report written by :func:`edugauge.sources.write_report`."""
     return read_csv(spark, path, schema) if schema else spark.read.option("header", True).csv(path)

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from edugauge.functions.dictionaries import GOAL_YEARS, STATE_CODES, STATE_REGIONS
 from edugauge.plans import bronze, gold, silver
+from edugauge.sources import spread
 
 SPARK = {"explode": "explode", "array": "array", "elem": "element_at", "idiv": "div"}
 DUCK = {"explode": "unnest", "array": "list_value", "elem": "list_extract", "idiv": "//"}
@@ -205,7 +206,8 @@ def relation(spark: SparkSession, sf: str, name: str) -> DataFrame:
     text = ctes(SPARK, f"SELECT * FROM {name}")
     for table in ("nation", "customer", "orders", "lineitem"):
         if re.search(rf"\b{table}\b", text):
-            read(spark, sf, table).createOrReplaceTempView(table)
+            rows = read(spark, sf, table)
+            (spread(rows) if table == "lineitem" else rows).createOrReplaceTempView(table)
     return spark.sql(text)
 
 
