@@ -13,9 +13,9 @@ from edugauge.sources.readers import (
     union_aligned,
 )
 from edugauge.sources.writers import (
-    log_counts,
     shard_row_limit,
     stamp,
+    stored_counts,
     write_report,
     write_sharded,
     write_table,
@@ -24,5 +24,5 @@ from edugauge.sources.writers import (
 __all__ = [
     "INGEST_ORDER", "read_csv", "read_delimited", "read_report", "read_sharded", "read_sheet",
     "read_table", "read_yearly", "spread", "union_aligned",
-    "log_counts", "shard_row_limit", "stamp", "write_report", "write_sharded", "write_table",
+    "shard_row_limit", "stamp", "stored_counts", "write_report", "write_sharded", "write_table",
 ]

@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from edugauge.sources.readers import YEARLY_ENCODING, YEARLY_SEPARATOR
@@ -74,9 +74,13 @@ def stamp(df: DataFrame, processed_at: datetime | Column | None = None) -> DataF
     return df.withColumns({"DT_PROCESSAMENTO": F.to_date(moment), "TS_PROCESSAMENTO": moment.cast("timestamp")})
 
 
-def log_counts(df: DataFrame, name: str, target: str | None = None) -> tuple[DataFrame, Observation]:
-    """Count rows (and target values) while ``df`` is being written; no second pass."""
-    seen = Observation(name)
+def stored_counts(stored: DataFrame, target: str | None = None) -> dict[str, int]:
+    """Row count, and the target values, of a stored table for the run log.
+
+    On Parquet the rows come from the file footers and the targets from one column. The
+    ``observe`` API would count during the write, but a session that has used it can no longer
+    ship MLlib models whose training summary holds the session, so it is not used here.
+    """
     metrics = [F.count(F.lit(1)).alias("rows")]
     if target:
         metrics += [
@@ -84,4 +88,4 @@ def log_counts(df: DataFrame, name: str, target: str | None = None) -> tuple[Dat
             F.count_if(F.col(target) == 0).alias("target_0"),
             F.count_if(F.col(target).isNull()).alias("target_null"),
         ]
-    return df.observe(seen, *metrics), seen
+    return stored.agg(*metrics).first().asDict()

@@ -69,10 +69,10 @@ def test_layer_table_overwrite_and_partition(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(y" in plan
 
 
-def test_counts_are_observed_while_writing(spark, tmp_path):
-    df, seen = sources.log_counts(spark.createDataFrame([(1,), (0,), (None,)], "t int"), "x", "t")
-    sources.write_table(df, str(tmp_path), "T")
-    assert seen.get == {"rows": 3, "target_1": 1, "target_0": 1, "target_null": 1}
+def test_counts_of_a_stored_table(spark, tmp_path):
+    sources.write_table(spark.createDataFrame([(1,), (0,), (None,)], "t int"), str(tmp_path), "T")
+    stored = sources.read_table(spark, str(tmp_path), "T")
+    assert sources.stored_counts(stored, "t") == {"rows": 3, "target_1": 1, "target_0": 1, "target_null": 1}
 
 
 def test_spread_leaves_wide_scans_alone(spark):
