@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from edugauge.functions.numeric import round_half_even
 from edugauge.operators.windows import running_totals, share_of_total
+from edugauge.session import cut_lineage
 
 
 def _long(df: DataFrame, cols: Sequence[str], name: str, value: str, keep: Sequence[str] = ()) -> DataFrame:
@@ -121,13 +122,13 @@ def exact_quantiles(
     counted (partial aggregate), counts get running totals by range, and only the two values
     around each wanted rank are kept.
     """
-    values = (
+    values = cut_lineage(
         _long(df.select(*[F.col(c).cast("double") for c in cols]), cols, "column_name", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    ranked = running_totals(values, "value", {"_upto": "_n"}, by="column_name")
+    ranked = running_totals(values, "value", {"_upto": "_n"}, by="column_name", stored=True)
     sizes = values.groupBy("column_name").agg(F.sum("_n").alias("_size"))
     wanted = (
         sizes.withColumn("p", F.explode(F.array(*[F.lit(float(p)) for p in probabilities])))

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from edugauge.functions.numeric import safe_ratio
 from edugauge.operators.windows import running_totals
+from edugauge.session import cut_lineage
 
 
 def _weight(weight: str | None) -> Column:
@@ -192,9 +193,9 @@ def roc_auc(df: DataFrame, label: str, score: str, weight: str | None = None, al
 
 def precision_recall_curve(df: DataFrame, label: str, score: str, target: int = 0) -> DataFrame:
     """One row per distinct score taken as the threshold ``score >= t`` (unweighted)."""
-    totals = score_totals(df, label, score, None, target)
+    totals = cut_lineage(score_totals(df, label, score, None, target))
     positives = totals.agg(F.sum("pos")).scalar()
-    curve = running_totals(totals, "score", {"tp": "pos", "fp": "neg"}, descending=True)
+    curve = running_totals(totals, "score", {"tp": "pos", "fp": "neg"}, descending=True, stored=True)
     tp, fp = F.col("tp"), F.col("fp")
     return curve.select(
         F.col("score").alias("threshold"),

@@ -7,7 +7,9 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from edugauge.functions.labels import lookup
 from edugauge.functions.numeric import round_half_even
+from edugauge.session import cut_lineage
 
 RANGE_BUCKETS = 256
 
@@ -72,50 +74,52 @@ def running_totals(
     by: str | None = None,
     descending: bool = False,
     buckets: int = RANGE_BUCKETS,
+    stored: bool = False,
 ) -> DataFrame:
     """Running sums (inclusive) over a table with distinct ``order`` values per ``by`` group.
 
     ``totals`` maps new column -> summed column. A plain ordered window would sort all rows in
     one task. Here the order axis is cut at approximate quantiles into ``buckets`` ranges:
     ranges are summed, the sums of the (few) ranges give each range its offset, and the window
-    runs inside a range only. The cuts affect balance, never the result.
+    runs inside a range only.
+
+    Approximate quantiles may differ between two evaluations, which would place a row and its
+    offset differently. So the table is stored first (unless it is ``stored`` already), and the
+    cuts, fewer than ``buckets`` numbers per ``by`` value, are fixed before the rest is planned.
+    Where they fall affects balance, never the result.
 
     ``by`` must have few distinct values (column names of a report, classes).
     """
-    group = F.col(by) if by else F.lit(0)
-    base = df.withColumn("_by", group)
-    probabilities = [i / buckets for i in range(1, buckets)]
-    cuts = base.groupBy("_by").agg(
-        F.percentile_approx(order, probabilities, 10 * buckets).alias("_cuts")
-    )
-    # One row per `by` value with fewer than `buckets` numbers each: a bounded broadcast.
-    placed = base.join(
-        F.broadcast(cuts.withColumnRenamed("_by", "_cut_by")), F.col("_by").eqNullSafe(F.col("_cut_by"))
-    ).withColumn("_range", F.lit(0))
+    df = df if stored else cut_lineage(df)
+    keys = [by] if by else []
+    cut_points = F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10 * buckets)
+    found = {tuple(row[:-1]): list(row[-1] or []) for row in df.groupBy(*keys).agg(cut_points).collect()}
+    if by:
+        cuts = lookup({key: F.array(*map(F.lit, points)) for (key,), points in found.items()}, by) if found else F.array()
+    else:
+        cuts = F.array(*map(F.lit, found.get((), [])))
+    placed = df.withColumn("_cuts", cuts)
+    placed = placed.withColumn("_range", F.lit(0))
     # Number of cuts below the value by halving: one generated comparison per step.
     step = 1 << ((buckets - 1).bit_length() - 1)
     while step:
         above = F.get("_cuts", F.col("_range") + (step - 1)) < F.col(order)
         placed = placed.withColumn("_range", F.when(above, F.col("_range") + step).otherwise(F.col("_range")))
         step >>= 1
-    placed = placed.drop("_cuts", "_cut_by")
+    placed = placed.drop("_cuts")
     direction = F.desc if descending else F.asc
     sums = {new: f"_sum_{i}" for i, new in enumerate(totals)}
-    ranges = placed.groupBy("_by", "_range").agg(
-        *[F.sum(c).alias(sums[new]) for new, c in totals.items()]
-    )
-    before = Window.partitionBy("_by").orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    ranges = placed.groupBy(*keys, "_range").agg(*[F.sum(c).alias(sums[new]) for new, c in totals.items()])
+    # At most `buckets` rows per `by` value.
+    before = Window.partitionBy(*keys).orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    offset_keys = {k: f"_off_{k}" for k in (*keys, "_range")}
     offsets = ranges.select(
-        F.col("_by").alias("_off_by"),
-        F.col("_range").alias("_off_range"),
+        *[F.col(k).alias(o) for k, o in offset_keys.items()],
         *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(s) for s in sums.values()],
     )
-    inside = Window.partitionBy("_by", "_range").orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy(*keys, "_range").orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.join(
-            F.broadcast(offsets),
-            F.col("_by").eqNullSafe(F.col("_off_by")) & (F.col("_range") == F.col("_off_range")),
-        )
+        placed.join(F.broadcast(offsets), [F.col(k) == F.col(o) for k, o in offset_keys.items()])
         .withColumns({new: F.sum(c).over(inside) + F.col(sums[new]) for new, c in totals.items()})
-        .drop("_by", "_range", "_off_by", "_off_range", *sums.values())
+        .drop("_range", *offset_keys.values(), *sums.values())
     )
