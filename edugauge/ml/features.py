@@ -96,18 +96,21 @@ def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
     return {c: float(found.get(c) or 0.0) for c in cols}
 
 
-def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
-    """Most frequent text per column; among equals the smallest."""
-    if not cols:
-        return {}
+def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+    """Most frequent text per column, ``(column_name, value)``; among equals the smallest."""
     counts = (
         _long(df.select(*[F.col(c).cast("string") for c in cols]), cols, "column_name", "value")
         .filter(F.col("value").isNotNull())
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    best = counts.groupBy("column_name").agg(F.min(F.struct(-F.col("n"), F.col("value"))).alias("best"))
-    found = {row["column_name"]: row["best"]["value"] for row in best.collect()}
+    best = counts.groupBy("column_name").agg(F.min(F.struct(-F.col("n"), F.col("value"))).alias("_best"))
+    return best.select("column_name", "_best.value")
+
+
+def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
+    """The modes as fill values; a column without any value gets the empty text."""
+    found = {row["column_name"]: row["value"] for row in mode_table(df, cols).collect()} if cols else {}
     return {c: found.get(c, "") for c in cols}
 
 

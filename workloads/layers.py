@@ -6,9 +6,12 @@ from pyspark.sql import functions as F
 
 from edugauge import functions as fn
 from edugauge.functions.dictionaries import GOAL_YEARS
+from edugauge.ml import clustering, municipal
+from edugauge.ml.features import PROFILE_FEATURES, mode_table
+from edugauge.operators.quality import table_profile
 from edugauge.plans import silver as silver_plan
 from workloads.registry import query
-from workloads.standin import duck, gold_frame, silver_frame, silver_frames
+from workloads.standin import duck, external_frame, gold_frame, relation, silver_frame, silver_frames
 
 _TITLE = (
     "list_aggregate(list_transform(regexp_extract_all(lower({c}), '(\\p{{L}}+|[^\\p{{L}}]+)'), "
@@ -243,3 +246,68 @@ FROM (SELECT *, round_even({_N[0]} + {_N[1]}, 2) AS PC_PERFIL_EXTREMA_DEFASAGEM,
 )
 def analise_niveis(spark, sf):
     return gold_frame(spark, sf, "ANALISE_NIVEIS_MUNICIPIO").drop(*_STAMPS)
+
+
+_META = f"""meta AS (SELECT *, (coalesce(DIF_META_ALFABETIZACAO >= 0, false))::int AS IN_META_ATINGIDA FROM (
+  SELECT *, round_even(PC_ALUNO_ALFABETIZADO - coalesce(META_ANO_AVALIACAO, 80), 2) AS DIF_META_ALFABETIZACAO,
+    round_even(PC_ALUNO_ALFABETIZADO - coalesce(META_FINAL_2030, 80), 2) AS DISTANCIA_META_2030
+  FROM (SELECT *, {_own_year('META_FINAL')} AS META_ANO_AVALIACAO FROM (
+    SELECT m.*, {_wide('g', 'META_FINAL')} FROM s_municipio m LEFT JOIN latest_mun g ON m.CO_MUNICIPIO = g.CO_MUNICIPIO WHERE m.ID_TIPO_REDE = 3) a) b) c)"""
+_EXTERNAL = "x.RENDA_PER_CAPITA_MEDIA, x.MEDIA_INSE, x.PC_FAMILIAS_POBREZA, x.PC_ESCOLAS_BIBLIOTECA, x.PC_ESCOLAS_LAB_INFORMATICA, x.PC_ESCOLAS_INTERNET_ALUNOS"
+
+
+def _meta_and_external(spark, sf):
+    external = external_frame(spark, sf).withColumn("MEDIA_INSE", fn.round_half_even("MEDIA_INSE", 6))
+    return gold_frame(spark, sf, "FT_INDICADOR_MUNICIPIO_META_VS_RESULTADO"), external
+
+
+@query(
+    "lag_dataset",
+    duck(
+        f"""
+SELECT a.ANO_REFERENCIA, a.CO_MUNICIPIO, a.SG_UF, a.REGIAO, a.PC_ALUNO_ALFABETIZADO, a.DIF_META_ALFABETIZACAO, a.IN_META_ATINGIDA,
+  b.PC_ALUNO_ALFABETIZADO AS PC_ALUNO_ALFABETIZADO_ANTERIOR, b.DIF_META_ALFABETIZACAO AS DIF_META_ALFABETIZACAO_ANTERIOR,
+  b.IN_META_ATINGIDA AS IN_META_ATINGIDA_ANTERIOR, {_EXTERNAL}
+FROM meta a JOIN meta b ON a.CO_MUNICIPIO = b.CO_MUNICIPIO AND a.ANO_REFERENCIA = b.ANO_REFERENCIA + 1
+LEFT JOIN externa x ON a.CO_MUNICIPIO = x.CO_MUNICIPIO""",
+        _SILVER + ",\n" + _META,
+    ),
+)
+def lag_dataset(spark, sf):
+    return municipal.lag_dataset(*_meta_and_external(spark, sf))
+
+
+@query(
+    "profile_table",
+    duck(
+        f"""
+SELECT * FROM (SELECT a.CO_MUNICIPIO, a.NO_MUNICIPIO, a.SG_UF, a.REGIAO, a.PC_ALUNO_ALFABETIZADO, a.DISTANCIA_META_2030, {_EXTERNAL}
+  FROM meta a LEFT JOIN externa x ON a.CO_MUNICIPIO = x.CO_MUNICIPIO WHERE a.ANO_REFERENCIA = 2025) t
+WHERE {' AND '.join(f'{c} IS NOT NULL' for c in PROFILE_FEATURES)}""",
+        _SILVER + ",\n" + _META,
+    ),
+)
+def profile_table(spark, sf):
+    return clustering.profile_table(*_meta_and_external(spark, sf), 2025)
+
+
+@query(
+    "mode_fill",
+    duck(
+        "SELECT column_name, value FROM (SELECT column_name, value, row_number() OVER (PARTITION BY column_name ORDER BY count(*) DESC, value) AS rn FROM long GROUP BY column_name, value) t WHERE rn = 1",
+        """long AS (SELECT 'uf' AS column_name, uf AS value FROM pupil UNION ALL
+  SELECT 'dep', CASE WHEN NOT incompleto THEN cast(dep AS varchar) END FROM pupil WHERE NOT incompleto)""",
+    ),
+)
+def mode_fill(spark, sf):
+    p = relation(spark, sf, "pupil").withColumn("dep", F.when(~F.col("incompleto"), F.col("dep")))
+    return mode_table(p, ["uf", "dep"])
+
+
+@query(
+    "table_profile_target",
+    duck("SELECT target, count(*) AS n, count(*) / (SELECT count(*) FROM pupil) AS share FROM pupil GROUP BY 1"),
+)
+def table_profile_target(spark, sf):
+    p = relation(spark, sf, "pupil").select("pupil_key", "ano", "target", "score")
+    return table_profile(p, "ano", "target", ["pupil_key"])["target"]
