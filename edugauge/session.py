@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -43,12 +44,14 @@ def local_session(cores: int | str = 8, app: str = "edugauge", **conf: str) -> S
 
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach: the one the cluster names in ``spark.checkpoint.dir``.
-    Only where none is named (tests on one machine) a temporary one is chosen.
+    Only on one machine (a ``local`` master, as in tests) a temporary one is chosen where none is named.
     """
     global _own_folder
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if named:
         return named
+    if not re.fullmatch(r"local(\[[^-\]]*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors reach")
     if _own_folder is None:
         _own_folder = tempfile.mkdtemp(prefix="edugauge-")
     return _own_folder
