@@ -10,6 +10,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from edugauge.session import scratch_path
 
@@ -81,13 +82,28 @@ def slices(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.Re
             yield batch.slice(start, rows)
 
 
-def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str) -> DataFrame:
-    """``mapInArrow`` with the package shipped to the workers first."""
+def map_arrow(df: DataFrame, function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: T.StructType) -> DataFrame:
+    """``mapInArrow`` with the package shipped to the workers first.
+
+    Columns that ``schema`` takes over from ``df`` go by number on the way, so they may have any name.
+    """
     ship(df.sparkSession)
-    return df.mapInArrow(function, schema)
+    names = {field.name for field in schema.fields}
+    numbers = {c: f"c{i}" for i, c in enumerate(df.columns) if c in names}
+    numbered = df.toDF(*(numbers.get(c, c) for c in df.columns))
+    inner = T.StructType([T.StructField(numbers.get(f.name, f.name), f.dataType) for f in schema.fields])
+    return numbered.mapInArrow(function, inner).toDF(*(f.name for f in schema.fields))
 
 
 def keep_columns(docs: DataFrame, *dropped: str) -> list[Column]:
     """All columns of ``docs`` but those whose names an operator is about to write."""
     gone = {name.lower() for name in dropped}
     return [quoted(name) for name in docs.columns if name.lower() not in gone]
+
+
+def quantiles(df: DataFrame, column: str, parts: int) -> list[int]:
+    """Distinct approximate cuts of a long column into ``parts`` ranges; none for an empty table."""
+    if parts < 2:
+        return []
+    found = df.agg(F.percentile_approx(column, [i / parts for i in range(1, parts)], 10_000)).first()[0]
+    return sorted({int(c) for c in found or []})

@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from edugauge.llm.common import ascii_lower, broadcast_if_small, id_and_text, keep_columns, map_arrow, parallelism, quoted, ship, store
+from edugauge.llm.common import ascii_lower, broadcast_if_small, id_and_text, keep_columns, parallelism, quoted, ship, store
 
 #: Width of a fingerprint beyond log2(rows): about one row in 2**12 is suspected in vain.
 SPARE_BITS = 12

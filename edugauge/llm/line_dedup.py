@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edugauge.llm.common import ascii_lower, broadcast_if_small, id_and_text, parallelism, store
+from edugauge.llm.common import ascii_lower, broadcast_if_small, id_and_text, parallelism, quantiles, store
 from edugauge.session import scratch_path
 
 #: Blanks that are stripped at both ends of a line: space and the controls 9 to 13.
@@ -96,7 +96,7 @@ def drop_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     spark = docs.sparkSession
     keys = keys_of(docs, id_col, text_col, min_chars)
     ids = docs.select(F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(LAST)).alias("id"))
-    cuts = sorted({int(c) for c in ids.approxQuantile("id", [i / batches for i in range(1, batches)], 0.01)})
+    cuts = quantiles(ids, "id", batches)
     number = F.lit(0)
     for cut in cuts:
         number = number + (F.col("id") > cut).cast("int")

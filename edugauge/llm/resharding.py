@@ -160,7 +160,7 @@ def reshard(docs: DataFrame, old_shard: Column, new_shards: int, id_col: str = "
     ranked = old.join(offset, ["__llm_file", "__llm_old"]).withColumn("__llm_rank", F.col("__llm_row") + F.col("__llm_offset"))
     dealt = ranked.join(move, "__llm_old").filter("__llm_rank >= __llm_from and __llm_rank < __llm_to")
     dealt = dealt.select(*(quoted(n) for n in names), (F.col("__llm_slot") + F.col("__llm_rank") - F.col("__llm_from")).alias("slot"), "shard")
-    changed = sorted({shard for shard, n in leaving.items() if n} | {shard for shard, n in taking.items() if n})
+    changed = sorted({shard for shard, n in leaving.items() if n and shard < new_shards} | {shard for shard, n in taking.items() if n})
     target = scratch_path(spark, "new_shards")
     dealt.filter(F.col("shard").isin(changed)).write.partitionBy("shard").option("compression", "zstd").parquet(target)
     schema = T.StructType([*docs.select(*kept).schema.fields, T.StructField("slot", T.LongType()), T.StructField("shard", T.IntegerType())])

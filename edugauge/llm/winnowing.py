@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edugauge.llm.common import id_and_text, keep_columns, map_arrow, parallelism, quoted, slices
+from edugauge.llm.common import id_and_text, keep_columns, map_arrow, parallelism, quantiles, quoted, ship, slices
 
 K, WINDOW = 10, 31
 BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -123,8 +123,8 @@ def with_next(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """
     plain = id_and_text(docs, id_col, text_col)
     parts = parallelism(docs.sparkSession)
-    cuts = sorted(set(plain.approxQuantile("_id", [i / parts for i in range(1, parts)], 0.001))) if parts > 1 else []
-    bucket = F.coalesce(F.size(F.filter(F.array(*[F.lit(int(c)) for c in cuts]), lambda c: c < F.col("_id"))), F.lit(0)) if cuts else F.lit(0)
+    cuts = quantiles(plain, "_id", parts)
+    bucket = F.coalesce(F.size(F.filter(F.array(*[F.lit(c) for c in cuts]), lambda c: c < F.col("_id"))), F.lit(0)) if cuts else F.lit(0)
     dealt = plain.withColumn("bucket", F.when(F.col("_id").isNull(), F.lit(-1)).otherwise(bucket))
     # one row for each bucket: its first id, and the bucket before it, which needs that document too
     firsts = sorted((r["bucket"], r["first"]) for r in dealt.groupBy("bucket").agg(F.min("_id").alias("first")).collect())
@@ -155,7 +155,8 @@ def compare_with_edits(docs: DataFrame, id_col: str = "doc_id", text_col: str =
                 held, done = ((bucket, doc_id, text, chosen), done) if not extra else (None, bucket)
             yield pa.RecordBatch.from_pylist(out, SCHEMA)
 
-    return map_arrow(with_next(docs, id_col, text_col), run, RESULT)
+    ship(docs.sparkSession)
+    return with_next(docs, id_col, text_col).mapInArrow(run, RESULT)
 
 
 RESULT = "doc_id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, selections int"
