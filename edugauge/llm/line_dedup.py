@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from edugauge.llm.common import ascii_lower, broadcast_if_small, id_and_text, parallelism, quantiles, store
+from edugauge.llm.common import ascii_lower, id_and_text, parallelism, quantiles, store
 from edugauge.session import scratch_path
 
 #: Blanks that are stripped at both ends of a line: space and the controls 9 to 13.
@@ -122,7 +122,7 @@ def _apply(plain: DataFrame, dropped: DataFrame, min_chars: int) -> DataFrame:
         return F.when(F.length(x["key"]) >= min_chars, ~found).otherwise(F.lit(True))
 
     count = F.size(_lines(F.col("_text"))).cast("long")
-    joined = plain.withColumn("id", F.coalesce("_id", F.lit(LAST))).join(broadcast_if_small(dropped, 400), "id", "left")
+    joined = plain.withColumn("id", F.coalesce("_id", F.lit(LAST))).join(dropped, "id", "left")
     kept = F.filter(lines, stays)
     whole = joined.filter(F.col("gone").isNull()).select(F.col("_id").alias("doc_id"), count.alias("n_lines"), F.lit(0).cast("long").alias("n_dropped"), F.col("_text").alias("kept"))
     cut = joined.filter(F.col("gone").isNotNull()).select("_id", count.alias("n_lines"), kept.alias("stay"))
