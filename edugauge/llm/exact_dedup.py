@@ -146,13 +146,15 @@ def mark(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", normal
     told = store(sent.join(answers, ["part", "owner"]).mapInArrow(_unpack(shift), ROW), "suspects")
 
     suspects = told.filter("suspect")
-    doubtful = broadcast_if_small(store(suspects.select("fp").distinct(), "doubtful"), 16)
+    doubtful = broadcast_if_small(store(suspects.select(F.col("doc_id").alias("__llm_id")).distinct(), "doubtful"), 16)
     # equal bytes meet in one group; copies are folded before the shuffle
-    verified = keyed.join(doubtful, "fp", "left_semi").groupBy("fp", "_norm").agg(F.count(F.lit(1)).alias("group_size"), F.max("_id").alias("keep_id"))
-    verified = verified.filter("group_size > 1").select("fp", F.sha2(F.col("_norm").cast("binary"), 256).alias("sha"), "group_size", "keep_id")
-    chosen = suspects.groupBy("fp", "sha").agg(F.max_by("uid", F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("keep_uid"))
-    groups = store(verified.join(chosen, ["fp", "sha"]), "groups")
-    joined = suspects.join(broadcast_if_small(groups, 160), ["fp", "sha"], "left").select(
+    texts = id_and_text(docs, id_col, text_col).join(doubtful, F.col("_id").eqNullSafe(F.col("__llm_id")), "left_semi")
+    texts = texts.select("_id", normalise(F.col("_text")).alias("_norm"))
+    verified = texts.groupBy("_norm").agg(F.count(F.lit(1)).alias("group_size"), F.max("_id").alias("keep_id"))
+    verified = verified.filter("group_size > 1").select(F.sha2(F.col("_norm").cast("binary"), 256).alias("sha"), "group_size", "keep_id")
+    chosen = suspects.groupBy("sha").agg(F.max_by("uid", F.coalesce("doc_id", F.lit(-(1 << 63)))).alias("keep_uid"))
+    groups = store(verified.join(chosen, "sha"), "groups")
+    joined = suspects.join(broadcast_if_small(groups, 160), "sha", "left").select(
         "doc_id",
         F.when(F.col("group_size").isNull(), F.col("doc_id")).otherwise(F.col("keep_id")).alias("keep_id"),
         F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"),
