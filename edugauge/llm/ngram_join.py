@@ -3,8 +3,9 @@
 A pair with similarity t shares, under any global order of all tokens, a token among the first
 n - ceil(t * n) + 1 of each set (n its size): its prefix. Candidates must share prefix tokens under every one of several orders:
 
-A. The tokens of a fixed part of the hash range first, rarest first by their exact number of sets, then the others by
-   hash. This order is applied by Spark over all documents: only that part of the tokens is shuffled. Nearly all
+A. The tokens of a part of the hash range first, rarest first by their exact number of sets, then the others by hash; the part
+   depends on the class of the set's size, and a set joins both classes where its partners may be in the next one. This
+   order is applied by Spark over all documents: only that part of the tokens is shuffled. Nearly all
    sets have enough tokens of their own in it to fill their prefix, and have no partner. The others (the survivors) are grouped by the
    connected components of shared prefix tokens: two sets of different groups cannot be a pair.
 B, C. Two more orders by reseeded hashes, applied to the survivors' whole sets within a group.
@@ -29,12 +30,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edugauge.llm.common import broadcast_if_small, id_and_text, map_arrow, ship, slices, store
+from edugauge.llm.common import broadcast_if_small, id_and_text, keep_columns, quoted, ship, slices, store
 from edugauge.llm.components import components
 
 BASE = np.uint64(0xD6E8FEB86659FD93)
 INVERSE = np.uint64(pow(0xD6E8FEB86659FD93, -1, 1 << 64))
 SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
+#: Size classes of order A: smallest size, and the part of the hash range as a multiple of 1 - t. A prefix is (1 - t) of a set; small
+#: sets need a larger part for enough tokens of their own. The result is the same for any classes.
+CLASSES = ((1, 6.0), (64, 3.0), (256, 2.25))
 #: Sets of a block; a task holds two blocks.
 BLOCK = 512
 #: Columns of a dense piece of the token matrix.
@@ -83,32 +87,44 @@ def prefix_size(n: int, num: int, den: int) -> int:
     return n - -(-num * n // den) + 1
 
 
-def _signatures(shingle: int, num: int, den: int, part: float):
-    limit = np.uint64(min(2**64 - 1, int(part * 2.0**64)))
+def universes(n: int, num: int, den: int) -> list[int]:
+    """Size classes whose order A a set of ``n`` tokens takes part in: its own, and the next if a partner may lie there."""
+    own = sum(n >= least for least, _ in CLASSES) - 1
+    last = own + 1 < len(CLASSES) and n * den >= num * CLASSES[own + 1][0]
+    return [own, own + 1] if last else [own]
+
+
+def _signatures(shingle: int, num: int, den: int):
+    limits = [np.uint64(min(2**64 - 1, int(times * (1 - num / den) * 2.0**64))) for _, times in CLASSES]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [tokens_of(t.as_py(), shingle) for t in batch["_text"]]
-            ids, leading, excess = [], [], []
+            ids, units = [], []
             for tokens in sets:
                 need = prefix_size(len(tokens), num, den) if len(tokens) else 0
-                size = max(need, int(np.searchsorted(tokens, limit, "right")))  # the hash order goes on where the part ends
-                ids.append(int(_mix(np.array([np.sum(_mix(tokens * SEEDS[0])) + np.uint64(len(tokens))])).view(np.int64)[0]))
-                leading.append(tokens[:size].view(np.int64))
-                excess.append(size - need)
+                ids.append(_set_id(tokens))
+                units.append([])
+                for c in universes(len(tokens), num, den) if len(tokens) else []:
+                    size = max(need, int(np.searchsorted(tokens, limits[c], "right")))  # the hash order goes on where the part ends
+                    units[-1].append({"excess": size - need, "tokens": _mix(tokens[:size] ^ np.uint64(c)).view(np.int64)})
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["_id"], "n": pa.array([len(s) for s in sets], pa.int32()), "set_id": pa.array(ids, pa.int64()),
-                "excess": pa.array(excess, pa.int32()), "tokens": pa.array(leading, pa.list_(pa.int64())),
+                "units": pa.array(units, pa.list_(pa.struct([("excess", pa.int32()), ("tokens", pa.list_(pa.int64()))]))),
             })
 
     return run
 
 
+def _set_id(tokens: np.ndarray) -> int:
+    return int(_mix(np.array([np.sum(_mix(tokens * SEEDS[0])) + np.uint64(len(tokens))])).view(np.int64)[0])
+
+
 def _whole_sets(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             sets = [tokens_of(t.as_py(), shingle) for t in batch["_text"]]
-            ids = [int(_mix(np.array([np.sum(_mix(s * SEEDS[0])) + np.uint64(len(s))])).view(np.int64)[0]) for s in sets]
+            ids = [_set_id(s) for s in sets]
             yield pa.RecordBatch.from_pydict({"set_id": pa.array(ids, pa.int64()), "tokens": pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))})
 
     return run
@@ -180,23 +196,22 @@ def link(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100, id_co
     Two rows link if ``den * intersection >= num * union`` of their shingle sets.
     """
     ship(docs.sparkSession)
-    # enough tokens of the part for a full prefix, most of the time; the order works for any part
-    part = min(1.0, 2.25 * (1 - num / den))
     plain = id_and_text(docs, id_col, text_col)
-    signed = store(plain.mapInArrow(_signatures(shingle, num, den, part), "doc_id long, n int, set_id long, excess int, tokens array<long>"), "signatures")
+    signed = store(plain.mapInArrow(_signatures(shingle, num, den), "doc_id long, n int, set_id long, units array<struct<excess int, tokens array<long>>>"), "signatures")
 
     classes = signed.filter("n > 0").groupBy("set_id").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("members"), F.first("n").alias("n"))
     classes = store(classes, "classes")
     copied = store(classes.filter("members > 1").select("set_id", "rep", "members"), "copied")
-    one_each = signed.filter("n > 0").select("doc_id", "set_id", "excess", "tokens").join(broadcast_if_small(copied.select("set_id", "rep"), 32), "set_id", "left")
-    one_each = one_each.filter("rep is null or doc_id = rep")
+    one_each = signed.filter("n > 0").select("doc_id", "set_id", "units").join(broadcast_if_small(copied.select("set_id", "rep"), 32), "set_id", "left")
+    one_each = one_each.filter("rep is null or doc_id <=> rep").select("set_id", F.posexplode("units").alias("unit", "at"))
 
     # order A: exact numbers of sets for the tokens of the part
-    rows = one_each.select("set_id", "excess", F.explode("tokens").alias("token"))
+    rows = one_each.select("set_id", "unit", F.explode("at.tokens").alias("token"))
     shared = rows.groupBy("token").agg(F.count(F.lit(1)).alias("df")).filter("df > 1")
-    owned = rows.join(shared, "token").groupBy("set_id").agg(F.first("excess").alias("excess"), F.collect_list(F.struct("df", "token")).alias("shared"))
+    owned = rows.join(shared, "token").groupBy("set_id", "unit").agg(F.collect_list(F.struct("df", "token")).alias("shared"))
+    owned = owned.join(one_each.select("set_id", "unit", "at.excess").distinct(), ["set_id", "unit"]).filter(F.size("shared") > F.col("excess"))
     prefix = F.slice(F.sort_array("shared"), F.lit(1), F.size("shared") - F.col("excess"))
-    survivors = owned.filter(F.size("shared") > F.col("excess")).select("set_id", F.transform(prefix, lambda x: x["token"]).alias("prefix"))
+    survivors = owned.groupBy("set_id").agg(F.flatten(F.collect_list(F.transform(prefix, lambda x: x["token"]))).alias("prefix"))
     survivors = store(survivors, "survivors")
     held = survivors.select("set_id", F.explode("prefix").alias("token"))
     least = held.groupBy("token").agg(F.min("set_id").alias("least"), F.count(F.lit(1)).alias("k")).filter("k > 1")
@@ -238,8 +253,6 @@ def one_of_each(docs: DataFrame, shingle: int = 5, num: int = 80, den: int = 100
 
     Rows that repeat the id of a component stay together only if they are not linked; of linked ones with that id one stays.
     """
-    from edugauge.llm.common import keep_columns, quoted
-
     found = store(link(docs, shingle, num, den, id_col, text_col), "linked")
     gone = found.filter("n_links > 0 and not (doc_id <=> component_id)").select(F.col("doc_id").alias("__llm_gone")).distinct()
     kept = docs.join(broadcast_if_small(store(gone, "gone"), 16), quoted(id_col).cast("long").eqNullSafe(F.col("__llm_gone")), "left_anti")
