@@ -7,7 +7,6 @@ Sub-packages
 ``operators``  table operators (joins, windows, aggregates, evaluation, sampling, quality, reports)
 ``ml``         model frames, classifiers, search, risk ranking, clustering, attribution
 ``plans``      the bronze / silver / gold layers and the analyses built from the operators
-``streaming``  empty on purpose: the covered workload is batch only
 """
 
 __version__ = "0.1.0"

@@ -30,6 +30,7 @@ from edugauge.functions.numeric import (
     safe_ratio,
     share_of_parts,
     strict_int,
+    sheet_int,
     tolerant_double,
     tolerant_int,
 )
@@ -47,6 +48,6 @@ __all__ = [
     "PROFILE_LEVELS", "level_profiles", "polarisation_index", "structural_risk_index",
     "descending_label", "flag01", "lookup", "pick_by_year", "right_closed_band", "yes_no",
     "clean_goal", "count_present", "gap", "nullable_int", "present_flag", "round_half_even",
-    "safe_ratio", "share_of_parts", "strict_int", "tolerant_double", "tolerant_int",
+    "safe_ratio", "share_of_parts", "sheet_int", "strict_int", "tolerant_double", "tolerant_int",
     "concat_key", "joined_label", "sha256_key", "strip", "title_case", "zero_padded",
 ]

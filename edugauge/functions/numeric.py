@@ -40,19 +40,29 @@ def nullable_int(c, type_name: str = "bigint") -> Column:
     return _col(c).cast(type_name)
 
 
-def tolerant_double(c) -> Column:
-    """Text to double; whatever is not a number becomes NULL.
+#: Decimal numbers and the named infinities; the JVM parser alone would take type letters and hexadecimal numbers too.
+_NUMBER = r"(?i)^\s*[+-]?((\d+(\.\d*)?|\.\d+)(e[+-]?\d+)?|inf|infinity)\s*$"
+
 
-    The JVM parser accepts ``1d`` / ``1f`` as numbers, so a trailing type letter is refused.
-    """
-    text = F.rtrim(_col(c).cast("string"))
-    typed = text.endswith("d") | text.endswith("D") | text.endswith("f") | text.endswith("F")
-    return F.nullif(F.when(~typed, text.try_cast("double")), F.lit(float("nan")))
+def tolerant_double(c) -> Column:
+    """Text to double; whatever is not a decimal number or a named infinity becomes NULL."""
+    text = _col(c).cast("string")
+    return F.when(text.rlike(_NUMBER), F.trim(text).try_cast("double"))
 
 
 def tolerant_int(c) -> Column:
-    """Text to bigint through :func:`tolerant_double` (``"1.0"`` is 1, ``"x"`` is NULL)."""
-    return tolerant_double(c).try_cast("bigint")
+    """Text to bigint: ``"1.0"`` is 1 and ``"x"`` is NULL; a number that is no integer raises."""
+    number = tolerant_double(c)
+    return F.when(
+        number.isNotNull() & (F.abs(number) < F.lit(2.0**63)) & (F.rint(number) == number), number.cast("bigint")
+    ).when(number.isNotNull(), F.raise_error(F.concat(F.lit("not an integer: "), number.cast("string"))).cast("bigint"))
+
+
+def sheet_int(c, name: str | None = None) -> Column:
+    """Strict integer from a sheet export, where note rows turn codes into decimals such as ``12.0``."""
+    label = name or (c if isinstance(c, str) else "value")
+    whole = F.regexp_replace(_col(c).cast("string"), r"^\s*([+-]?\d+)\.0*\s*$", "$1")
+    return strict_int(whole, name=label)
 
 
 def clean_goal(c) -> Column:

@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 from edugauge.ml.models import Fitted
 from edugauge.operators.sampling import seeded_sample
 
-EXACT_VARIABLES = 8
+#: Variables whose coalitions are enumerated at most (two to that power); more have to ask for another method.
+MOST_VARIABLES = 16
 
 
 def exact_coefficients(n: int) -> dict[int, list[float]]:
@@ -56,19 +57,22 @@ def shapley_values(
     background: DataFrame,
     background_keys: Sequence[str],
     background_rows: int = 32,
-    permutations: int = 32,
+    permutations: int | None = None,
     score: str = "score",
     seed: int = 42,
 ) -> DataFrame:
     """Long table ``(row_id, feature, phi, base, prediction)``.
 
-    Exact for up to ``EXACT_VARIABLES`` variables, sampled orders beyond. In both cases the
+    Exact over all coalitions unless a number of ``permutations`` is asked for: then an estimate
+    from so many seeded orders. Too many variables for the exact way raise. In both cases the
     values of a row add up to its prediction minus the mean background prediction. Explain
     distinct feature profiles rather than raw rows where rows repeat.
     """
     variables = fitted.preprocessor.numeric + fitted.preprocessor.categorical
     n = len(variables)
-    table = exact_coefficients(n) if n <= EXACT_VARIABLES else sampled_coefficients(n, permutations, seed)
+    if permutations is None and n > MOST_VARIABLES:
+        raise ValueError(f"{n} variables have too many coalitions; ask for permutations")
+    table = exact_coefficients(n) if permutations is None else sampled_coefficients(n, permutations, seed)
     # A fixed number of background rows, put on every row as one array.
     chosen = seeded_sample(background.select(*dict.fromkeys([*background_keys, *variables])), background_keys, background_rows, seed)
     pool = chosen.agg(F.collect_list(F.struct(*variables)).alias("pool")).scalar()

@@ -77,9 +77,13 @@ def fit_logistic(train: DataFrame, preprocessor: Preprocessor, params: Mapping)
         prepared.unpersist()
 
 
+#: Split candidates of a continuous column; ``params`` may hold another number.
+MAX_BINS = 1024
+
+
 def fit_forest(prepared: DataFrame, params: Mapping) -> Model:
     """Weighted random forest. Rows are not merged here: bootstrap and leaf size count rows."""
-    estimator = RandomForestClassifier(weightCol="weight", featureSubsetStrategy="sqrt", maxBins=64, maxMemoryInMB=1024)
+    estimator = RandomForestClassifier(weightCol="weight", featureSubsetStrategy="sqrt", maxBins=MAX_BINS, maxMemoryInMB=1024)
     return estimator.setParams(**params).fit(prepared)
 
 

@@ -14,6 +14,7 @@ from edugauge.functions import (
     lookup,
     nullable_int,
     sha256_key,
+    sheet_int,
     strict_int,
     strip,
     title_case,
@@ -102,7 +103,7 @@ def _clean_goals(df: DataFrame) -> DataFrame:
 def national_goals(sheet: DataFrame, processed_at=None) -> DataFrame:
     """The national row(s) of the state goal sheet."""
     rows = _clean_goals(sheet.filter(F.col("NOME_UF") == NATION_NAME))
-    named = rows.withColumns({"REDE": _clean_name("REDE"), "ANO_REFERENCIA": strict_int("ANO")})
+    named = rows.withColumns({"REDE": _clean_name("REDE"), "ANO_REFERENCIA": sheet_int("ANO")})
     keyed = named.withColumn("SK_META_ALFABETIZACAO", sha256_key("ANO_REFERENCIA", F.upper("REDE")))
     return stamp(keyed, processed_at)
 
@@ -113,9 +114,9 @@ def state_goals(sheet: DataFrame, processed_at=None) -> DataFrame:
     named = rows.withColumns(
         {
             "SIGLA_UF": _clean_code("SIGLA_UF"),
-            "CO_UF": strict_int("CD_UF"),
+            "CO_UF": sheet_int("CD_UF"),
             "REDE": _clean_name("REDE"),
-            "ANO_REFERENCIA": strict_int("ANO"),
+            "ANO_REFERENCIA": sheet_int("ANO"),
         }
     )
     keyed = named.withColumn("SK_META_ESTADO", sha256_key("ANO_REFERENCIA", "SIGLA_UF", F.upper("REDE")))
@@ -127,13 +128,13 @@ def municipality_goals(sheet: DataFrame, processed_at=None) -> DataFrame:
     rows = _clean_goals(sheet.filter(F.col("CO_MUNICIPIO").isNotNull()))
     named = rows.withColumns(
         {
-            "CO_UF": strict_int("CO_UF"),
+            "CO_UF": sheet_int("CO_UF"),
             "SG_UF": _clean_code("SG_UF"),
-            "CO_MUNICIPIO": strict_int("CO_MUNICIPIO"),
+            "CO_MUNICIPIO": sheet_int("CO_MUNICIPIO"),
             "NO_MUNICIPIO": _clean_name("NO_MUNICIPIO"),
             "NO_TP_REDE": _clean_name("NO_TP_REDE"),
-            "ANO_REFERENCIA": strict_int("ANO"),
-            "CO_NIVEL_ALFABETIZACAO": strict_int("CO_NIVEL_ALFABETIZACAO"),
+            "ANO_REFERENCIA": sheet_int("ANO"),
+            "CO_NIVEL_ALFABETIZACAO": sheet_int("CO_NIVEL_ALFABETIZACAO"),
         }
     )
     return stamp(named.withColumn("SK_META_MUNICIPIO", sha256_key("ANO_REFERENCIA", "CO_MUNICIPIO")), processed_at)

@@ -40,6 +40,21 @@ def test_tolerant_casts(spark):
     rows = [("1.25",), (" 7 ",), ("x",), ("",), ("1d",), ("2F",), ("nan",), (None,), ("1e2",)]
     assert values(spark, rows, "s string", fn.tolerant_double("s")) == [1.25, 7.0, None, None, None, None, None, None, 100.0]
     assert values(spark, [("1.0",), ("x",)], "s string", fn.tolerant_int("s")) == [1, None]
+    odd = [("0x1p3",), ("inf",), ("-Infinity",), (".5",), ("5.",), ("1_0",)]
+    assert values(spark, odd, "s string", fn.tolerant_double("s")) == [None, float("inf"), float("-inf"), 0.5, 5.0, None]
+
+
+@pytest.mark.parametrize("fraction", ["1.5", "-0.9", "inf", "1e30"])
+def test_tolerant_int_refuses_what_is_no_integer(spark, fraction):
+    with pytest.raises(Exception, match="not an integer"):
+        values(spark, [(fraction,)], "s string", fn.tolerant_int("s"))
+
+
+def test_sheet_int_reads_decimals_of_exports(spark):
+    assert values(spark, [("12.0",), ("2304400.",), (" 7.00 ",), ("35",)], "s string", fn.sheet_int("s")) == [12, 2304400, 7, 35]
+    for bad in ("12.5", "x", None):
+        with pytest.raises(Exception, match="strict integer|CAST_INVALID_INPUT"):
+            values(spark, [(bad,)], "s string", fn.sheet_int("s"))
 
 
 @pytest.mark.parametrize("bad", ["x", None])

@@ -13,6 +13,10 @@ _DIRTY = """CASE WHEN c_custkey % 5 = 0 THEN ' - ' WHEN c_custkey % 5 = 1 THEN '
   WHEN c_custkey % 5 = 2 THEN '' WHEN c_custkey % 5 = 3 THEN ' ' || cast(c_custkey as string) || '.25 ' ELSE '1d' END"""
 
 
+#: Whole numbers as exports write them, next to cells that are none.
+_WHOLE = "CASE WHEN c_custkey % 3 = 0 THEN 'n/a' ELSE cast(c_custkey AS varchar(20)) || '.0' END"
+
+
 @query(
     "coerce_clean",
     f"""
@@ -20,7 +24,7 @@ WITH t AS (SELECT c_custkey, {_DIRTY} AS dirty FROM customer),
 s AS (SELECT *, nullif(trim(dirty), '-') AS cell FROM t)
 SELECT c_custkey,
   try_cast(trim(dirty) AS double) AS number,
-  cast(floor(try_cast(trim(dirty) AS double)) AS bigint) AS whole,
+  try_cast({_WHOLE} AS double)::bigint AS whole,
   try_cast(trim(replace(cell, '>', '')) AS double) AS goal,
   cast(CASE WHEN c_custkey % 7 = 0 THEN NULL ELSE c_custkey * 2 END AS bigint) AS nullable,
   cast(c_custkey AS int) AS strict
@@ -32,7 +36,7 @@ def coerce_clean(spark, sf):
     return rows.select(
         "c_custkey",
         fn.tolerant_double("dirty").alias("number"),
-        fn.tolerant_int("dirty").alias("whole"),
+        fn.tolerant_int(F.expr(_WHOLE)).alias("whole"),
         fn.clean_goal("dirty").alias("goal"),
         fn.nullable_int(doubled).alias("nullable"),
         fn.strict_int(F.col("c_custkey").cast("string"), name="c_custkey").alias("strict"),
