@@ -22,6 +22,7 @@ those that the result writes.
 from __future__ import annotations
 
 import base64
+import gc
 import re
 import struct
 from collections.abc import Callable, Iterator
@@ -87,20 +88,22 @@ class Transducer:
             parts[at : at + 2] = [merged]
         return True
 
-    def _spines(self, token: bytes) -> tuple[list[bytes], list[bytes]]:
-        """Pieces at the right and at the left edge of a token while it is merged, from single bytes to the token."""
+    def _spines(self, token: bytes) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]]:
+        """Pieces at the right and at the left edge of a token while it is merged, from single bytes to the token, each with
+        the rank at which it grows into the next one.
+        """
         known = self.spines.get(token)
         if known is None:
             parts = [token[i : i + 1] for i in range(len(token))]
-            right, left = [parts[-1]], [parts[0]]
+            right, left = [], []
             while len(parts) > 1:
-                _, at = min((self.ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
-                parts[at : at + 2] = [parts[at] + parts[at + 1]]
-                if at == len(parts) - 1:
-                    right.append(parts[-1])
+                rank, at = min((self.ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
+                if at == len(parts) - 2:
+                    right.append((parts[-1], rank))
                 if at == 0:
-                    left.append(parts[0])
-            known = self.spines[token] = (right, left)
+                    left.append((parts[0], rank))
+                parts[at : at + 2] = [parts[at] + parts[at + 1]]
+            known = self.spines[token] = ([*right, (token, NEVER)], [*left, (token, NEVER)])
         return known
 
     def _neighbours(self, left: bytes, right: bytes) -> bool:
@@ -110,59 +113,51 @@ class Transducer:
         before the next growth on either side (a growth on the left goes first among equals, one on the right last).
         """
         rank = self.ranks.get
-        ours, theirs = self._spines(left)[0], self._spines(right)[1]
-        i = j = 0
+        ours, theirs = iter(self._spines(left)[0]), iter(self._spines(right)[1])
+        (a, grow), (b, other) = next(ours), next(theirs)
         while True:
-            grow = rank(ours[i + 1]) if i + 1 < len(ours) else NEVER
-            other = rank(theirs[j + 1]) if j + 1 < len(theirs) else NEVER
-            across = rank(ours[i] + theirs[j], NEVER)
+            across = rank(a + b, NEVER)
             if across < grow and across <= other:
                 return False
-            if grow == other == NEVER:
-                return True
-            if grow <= other:
-                i += 1
+            if grow > other:
+                b, other = next(theirs)
+            elif grow < NEVER:
+                a, grow = next(ours)
             else:
-                j += 1
+                return True
 
     def _intern(self, state: tuple) -> int:
         number = self.states.get(state)
         if number is None:
             number = self.states[state] = len(self.parts)
             self.parts.append(state)
-            self.final.append(tuple(self.ranks[t] for t in state[1][-1][1]))
+            self.final.append(state[1][-1][1])
         return number
 
     def _step(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
         """A state is the longest suffix that begins a token, and for each position in it (the last is the end) the last
-        token before that position that was emitted or is pending, with the pending ones.
+        token before that position that was emitted or is pending, with the ids of the pending ones.
         """
         suffix, ends = self.parts[number]
         text = suffix + bytes((byte,))
-        # ends[i] belongs to the position len(suffix) - (len(ends) - 1 - i)
-        offset = len(suffix) - (len(ends) - 1)
-        chosen = None
-        for start in range(max(0, offset), len(text)):
+        for start, (last, pending) in enumerate(ends):
             token = text[start:]
-            last, pending = ends[start - offset]
-            if token in self.reachable and (last == b"" or self._neighbours(last, token)):
-                chosen = (token, (*pending, token))
+            if token in self.reachable and (not last or self._neighbours(last, token)):
                 break
-        if chosen is None:
+        else:
             raise ValueError(f"the vocabulary cannot encode byte {byte}")
-        ends = (*ends, chosen)
-        keep = min(len(text), self.longest - 1)
-        while keep and text[-keep:] not in self.prefixes:
-            keep -= 1
-        ends = ends[-(keep + 1) :]
-        common = min(len(pending) for _, pending in ends)
+        cut = max(0, len(text) + 1 - self.longest)
+        while cut < len(text) and text[cut:] not in self.prefixes:
+            cut += 1
+        ends = (*ends[cut:], (token, (*pending, self.ranks[token])))
         first = ends[0][1]
-        shared = 0
+        if not first:
+            return self._intern((text[cut:], ends)), ()
+        shared, common = 0, min(len(pending) for _, pending in ends)
         while shared < common and all(pending[shared] == first[shared] for _, pending in ends):
             shared += 1
-        out = tuple(self.ranks[t] for t in first[:shared])
         ends = tuple((last, pending[shared:]) for last, pending in ends)
-        return self._intern((text[len(text) - keep :], ends)), out
+        return self._intern((text[cut:], ends)), first[:shared]
 
     def encode(self, data: bytes) -> list[int]:
         """Ids of one match."""
@@ -241,10 +236,15 @@ def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, matches = _encoder(shared.value, pattern)
-        for batch in slices(batches):
-            texts = batch.column(batch.num_columns - 1)
-            packed = [b"".join(map(matches.__getitem__, split(t.as_py() or ""))) for t in texts]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=[*batch.schema.names[:-1], "ids"])
+        gc.disable()  # the tables hold no cycles, and walking through them again and again takes as long as building them
+        try:
+            for batch in slices(batches):
+                texts = batch.column(batch.num_columns - 1)
+                packed = [b"".join(map(matches.__getitem__, split(t.as_py() or ""))) for t in texts]
+                gc.collect(0)
+                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=[*batch.schema.names[:-1], "ids"])
+        finally:
+            gc.enable()
 
     schema = T.StructType([*plain.schema.fields[:-1], T.StructField("ids", T.BinaryType())])
     return map_arrow(plain, run, schema)
