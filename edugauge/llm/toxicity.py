@@ -115,7 +115,7 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     """Distinct buckets of a text and their shares."""
     found = [b for b, _ in subwords(_code_points([text])[0])]
     buckets, counts = np.unique(np.concatenate(found), return_counts=True) if found else (np.zeros(0, np.uint32), np.zeros(0))
-    return buckets.astype(np.int64), (counts / max(1, counts.sum())).astype(np.float32)
+    return buckets.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)
 
 
 def train(texts: list[str], labels: list[int], dims: int = 8, steps: int = 16_000, batch: int = 32, rate: float = 1.0, least: float = 0.005, seed: int = 1) -> Model:
@@ -128,10 +128,14 @@ def train(texts: list[str], labels: list[int], dims: int = 8, steps: int = 16_00
     if len(set(labels)) < 2:
         share = float(labels[0]) if labels else 0.0
         return Model(np.zeros(1 << BUCKET_BITS, np.float32), 60.0 if share else -60.0)
-    bags = [bag(t) for t in texts]
-    floor = max(3, least * len(texts))
-    met = np.bincount(np.concatenate([b for b, _ in bags]), minlength=1 << BUCKET_BITS)
-    bags = [(b[met[b] >= floor], s[met[b] >= floor]) for b, s in bags]
+    bags, met = [], np.zeros(1 << BUCKET_BITS, np.int32)
+    for text in texts:
+        bags.append(bag(text))
+        met[bags[-1][0]] += 1
+    common = met >= max(3, least * len(texts))
+    for i, (b, s) in enumerate(bags):  # one by one, as the bags are the most that the driver holds
+        kept = common[b]
+        bags[i] = (b[kept], s[kept])
     vectors = np.zeros((1 << BUCKET_BITS, dims), np.float32)
     softmax = (rng.standard_normal((dims, 2)) * 0.5).astype(np.float32)
     offset = np.zeros(2, np.float32)
