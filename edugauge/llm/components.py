@@ -18,6 +18,14 @@ def _star(edges: DataFrame, large: bool) -> DataFrame:
     return edges.join(least, "u").filter("v != m").select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(least.select("u", F.col("m").alias("v")))
 
 
+def _unfinished(edges: DataFrame) -> bool:
+    """Whether a node has several smaller neighbours, or smaller and larger ones: edges ``u > v`` without such a node are stars."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("down"), F.lit(0).alias("up"))
+    ends = ends.unionByName(edges.select(F.col("v").alias("node"), F.lit(0).alias("down"), F.lit(1).alias("up")))
+    met = ends.groupBy("node").agg(F.sum("down").alias("down"), F.max("up").alias("up"))
+    return not met.filter("down > 1 or (down = 1 and up = 1)").isEmpty()
+
+
 def components(edges: DataFrame) -> DataFrame:
     """``node, component`` (the smallest node reachable) for all nodes of ``edges (a, b)``, by alternating stars.
 
@@ -26,12 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
     """
     current = edges.filter("a != b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     current = store(current, "edges")
-    while True:
-        following = store(_star(store(_star(current, True).distinct(), "large_star"), False).distinct(), "small_star")
-        before, after = (t.agg(F.count(F.lit(1)), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first() for t in (current, following))
-        current = following
-        if before == after:
-            break
+    while _unfinished(current):
+        current = store(_star(store(_star(current, True).distinct(), "large_star"), False).distinct(), "small_star")
     return current.select(F.col("u").alias("node"), F.col("v").alias("component")).unionByName(
         current.select(F.col("v").alias("node"), F.col("v").alias("component")).distinct()
     )
