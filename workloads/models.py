@@ -1,7 +1,7 @@
 """Seeded model training over the stand-in tables. No SQL twin: results depend on MLlib's
 randomness; the parts around the fits have their own twins.
 
-Forests are smaller than the tuned ones, which are for millions of pupils.
+Every query runs its plan with the plan's own parameters: tuned forests, whole searches, all numbers of clusters.
 """
 
 from __future__ import annotations
@@ -17,7 +17,6 @@ from edugauge.session import cut_lineage
 from workloads.registry import query
 from workloads.standin import external_frame, gold_frame, relation
 
-FOREST = {"numTrees": 20, "maxDepth": 8, "minInstancesPerNode": 20}
 KEYS = ["pupil_key"]
 
 
@@ -55,61 +54,59 @@ def lr_weighted(spark, sf):
 
 @query("rf_compare")
 def rf_compare(spark, sf):
-    return pupil_model.compare(*_split(spark, sf), forest=FOREST)["comparison"]
+    return pupil_model.compare(*_split(spark, sf))["comparison"]
 
 
 @query("rf_by_state")
 def rf_by_state(spark, sf):
     train, test = _split(spark, sf)
-    fitted = models.fit(train, models.forest(FOREST), *feature_groups(True, True))
+    fitted = models.fit(train, models.forest(models.PUPIL_FOREST), *feature_groups(True, True))
     return models.group_report(fitted, test, "SG_UF")
 
 
 @query("cv_search")
 def cv_search(spark, sf):
     train, test = _split(spark, sf)
-    candidates = [{"numTrees": n, "maxDepth": depth, "minInstancesPerNode": 20} for n, depth in ((10, 4), (10, 8), (20, 6))]
-    return pupil_model.tune(train, test, KEYS, sample_rows=20_000, candidates=candidates)["search"]
+    return pupil_model.tune(train, test, KEYS)["search"]
 
 
 @query("shapley")
 def shapley(spark, sf):
     train, test = _split(spark, sf)
-    return pupil_model.explain(train, test, KEYS, sample_rows=200, forest=FOREST, background_rows=8)["importance"]
+    return pupil_model.explain(train, test, KEYS, sample_rows=200, background_rows=8)["importance"]
 
 
 @query("goal_model")
 def goal_model(spark, sf):
     train, test = municipal_model.split(*_goals(spark, sf))
-    reports, _ = municipal_model.goal_model(train, test, FOREST)
+    reports, _ = municipal_model.goal_model(train, test)
     return reports["comparison"]
 
 
 @query("goal_thresholds")
 def goal_thresholds(spark, sf):
     train, test = municipal_model.split(*_goals(spark, sf))
-    reports, _ = municipal_model.goal_model(train, test, FOREST)
+    reports, _ = municipal_model.goal_model(train, test)
     return reports["thresholds"]
 
 
 @query("goal_grid_search")
 def goal_grid_search(spark, sf):
     train, test = municipal_model.split(*_goals(spark, sf))
-    candidates = [{"numTrees": 10, "maxDepth": depth, "minInstancesPerNode": leaf} for depth in (4, 8) for leaf in (5, 20)]
-    return municipal_model.tune(train, test, candidates, folds=3)["search"]
+    return municipal_model.tune(train, test)["search"]
 
 
 @query("risk_model")
 def risk_model(spark, sf):
     levels = gold_frame(spark, sf, "ANALISE_NIVEIS_MUNICIPIO")
-    return municipal_model.risk(*_goals(spark, sf), levels, FOREST)["ranking"]
+    return municipal_model.risk(*_goals(spark, sf), levels)["ranking"]
 
 
 @query("kmeans_k")
 def kmeans_k(spark, sf):
-    return municipal_model.clusters(*_goals(spark, sf), k_min=3, k_max=5, restarts=2)["scores"]
+    return municipal_model.clusters(*_goals(spark, sf))["scores"]
 
 
 @query("cluster_profile")
 def cluster_profile(spark, sf):
-    return municipal_model.clusters(*_goals(spark, sf), k_min=3, k_max=3, restarts=2)["profile"]
+    return municipal_model.clusters(*_goals(spark, sf))["profile"]
