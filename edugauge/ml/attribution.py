@@ -1,23 +1,35 @@
 """Additive (Shapley) attribution of a model score to its input variables.
 
-A coalition takes some variables from the explained row and the rest from a background row.
-The Shapley value of a variable is a fixed linear combination of the mean scores of the
-coalitions, so the whole computation is: expand rows by coalition and background, score, and
-sum with coefficients. The expansion of a row has a fixed size and is summed up again in the
-same task, so nothing but one line per row is shuffled.
+A coalition takes some variables from the explained row and the rest from the background, which is
+every row of the background table unless a sample is asked for. The Shapley value of a variable is
+a fixed linear combination of the mean scores of the coalitions.
+
+A forest is explained leaf by leaf. A row breaks the conditions on the way to a leaf in some of the
+variables, which is a bit mask; a coalition of the row with a background row reaches the leaf if
+neither breaks a condition in the variables it gives. So the weights of the background by leaf and
+mask, counted in one pass, give the mean score of every coalition over all background rows.
+
+Any other model, and sampled orders, are explained by expansion: rows by background profile and
+coalition are scored and summed with coefficients, which is rows times profiles times coalitions.
 """
 
 from __future__ import annotations
 
 import random
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
 from math import factorial
 
+import numpy as np
+import pandas as pd
+from pyspark.ml.classification import RandomForestClassificationModel
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edugauge.ml.models import Fitted
 from edugauge.operators.sampling import seeded_sample
+from edugauge.session import cut_lineage, scratch_path
 
 #: Variables whose coalitions are enumerated at most (two to that power); more have to ask for another method.
 MOST_VARIABLES = 16
@@ -50,64 +62,199 @@ def sampled_coefficients(n: int, permutations: int, seed: int) -> dict[int, list
     return table
 
 
-def shapley_values(
-    fitted: Fitted,
-    rows: DataFrame,
-    row_id: str,
-    background: DataFrame,
-    background_keys: Sequence[str],
-    background_rows: int = 32,
-    permutations: int | None = None,
-    score: str = "score",
-    seed: int = 42,
-) -> DataFrame:
-    """Long table ``(row_id, feature, phi, base, prediction)``.
+@dataclass
+class Tree:
+    """Nodes in pre-order, so that a parent comes before its children."""
 
-    Exact over all coalitions unless a number of ``permutations`` is asked for: then an estimate
-    from so many seeded orders. Too many variables for the exact way raise. In both cases the
-    values of a row add up to its prediction minus the mean background prediction. Explain
-    distinct feature profiles rather than raw rows where rows repeat.
+    parent: list[int]
+    is_left: list[bool]
+    slot: list[int]
+    split: list[float | tuple[float, ...]]
+    value: list[float | None]
+
+    def masks(self, features: np.ndarray, bits: Sequence[int]) -> Iterator[tuple[int, float, np.ndarray]]:
+        """Per leaf its number, its score and each row's mask of variables that break a condition on the way to it."""
+        broken: list[np.ndarray | None] = [np.zeros(len(features), np.int32)]
+        left: dict[int, np.ndarray] = {}
+        last = {p: i for i, p in enumerate(self.parent) if p >= 0}
+        for i in range(len(self.parent)):
+            p = self.parent[i]
+            if p >= 0:
+                broken.append(broken[p] | np.where(left[p] == self.is_left[i], 0, bits[self.slot[p]]).astype(np.int32))
+                if last[p] == i:  # both children have their masks
+                    broken[p] = left[p] = None
+            if self.value[i] is None:
+                column, split = features[:, self.slot[i]], self.split[i]
+                left[i] = np.isin(column, split) if isinstance(split, tuple) else column <= split
+            else:
+                yield i, self.value[i], broken[i]
+                broken[i] = None
+
+
+def read_forest(fitted: Fitted, spark) -> list[Tree]:
+    """The trees of a fitted forest, from its stored form; the model is on the driver anyway."""
+    path = scratch_path(spark, "forest")
+    fitted.model.save(path)
+    nodes = spark.read.parquet(f"{path}/data").select("treeID", "nodeData.*").toPandas().sort_values(["treeID", "id"])
+    trees = []
+    for _, own in nodes.groupby("treeID", sort=True):
+        own = own.reset_index(drop=True)
+        parent, is_left = [-1] * len(own), [False] * len(own)
+        slot, split, value = [], [], []
+        for i, (l, r, s, stats) in enumerate(zip(own["leftChild"], own["rightChild"], own["split"], own["impurityStats"])):
+            if l < 0:
+                slot.append(-1), split.append(0.0), value.append(float(stats[1] / sum(stats)))
+                continue
+            parent[l], parent[r], is_left[l] = i, i, True
+            listed = s["leftCategoriesOrThreshold"]
+            slot.append(int(s["featureIndex"])), value.append(None)
+            split.append(float(listed[0]) if s["numCategories"] < 0 else tuple(float(c) for c in listed))
+        trees.append(Tree(parent, is_left, slot, split, value))
+    return trees
+
+
+def subset_sums(table: np.ndarray, n: int) -> np.ndarray:
+    """For each mask of ``n`` bits (first axis) the sum over all its subsets."""
+    shape = table.shape
+    for i in range(n):
+        halves = table.reshape(1 << n - i - 1, 2, 1 << i, -1)
+        table = np.concatenate([halves[:, :1], halves[:, :1] + halves[:, 1:]], axis=1).reshape(shape)
+    return table
+
+
+def variable_bits(fitted: Fitted) -> list[int]:
+    """For each slot of the feature vector the bit of its variable."""
+    p = fitted.preprocessor
+    return [1 << i for i, _ in enumerate(p.numeric)] + [1 << len(p.numeric) + i for i, c in enumerate(p.categorical) for _ in p.categories[c]]
+
+
+def forest_sums(fitted: Fitted, rows: DataFrame, row_id: str, others: DataFrame, variables: Sequence[str]) -> DataFrame:
+    """``row_id, _own, base, prediction, _phi0, ...`` of every row, against ``others`` with a share ``_w`` each.
+
+    The background is never brought together: partitions count shares by leaf and mask. The explained
+    rows are broadcast as one matrix, and each tree adds its part for all of them.
     """
-    variables = fitted.preprocessor.numeric + fitted.preprocessor.categorical
+    spark, n = rows.sparkSession, len(variables)
+    trees, bits = read_forest(fitted, spark), variable_bits(fitted)
+    forest = spark.sparkContext.broadcast(trees)
+
+    def matrix(column: pd.Series) -> np.ndarray:
+        return np.stack(column.to_numpy()) if len(column) else np.zeros((0, len(bits)))
+
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            features, w = matrix(batch["f"]), batch["_w"].to_numpy()
+            for t, tree in enumerate(forest.value):
+                found = []
+                for leaf, _, broken in tree.masks(features, bits):
+                    sums = np.bincount(broken, w)
+                    met = np.flatnonzero(sums)
+                    found.append((np.full(len(met), leaf), met, sums[met]))
+                leaf, mask, w_sum = (np.concatenate(x) for x in zip(*found))
+                yield pd.DataFrame({"tree": t, "leaf": leaf, "mask": mask, "w": w_sum})
+
+    vector = vector_to_array("features").alias("f")
+    counted = fitted.preprocessor.transform(others).select(vector, "_w").mapInPandas(count, "tree int, leaf int, mask int, w double")
+    counted = counted.groupBy("tree", "leaf", "mask").agg(F.sum("w").alias("w"))
+    own = cut_lineage(rows.select(F.col(row_id).alias("row_id"), *variables))
+    listed = fitted.preprocessor.transform(own).select("row_id", vector).toPandas()
+    explained = spark.sparkContext.broadcast((listed["row_id"].to_numpy(), matrix(listed["f"])))
+    table = np.array([values for _, values in sorted(exact_coefficients(n).items())])
+    full = (1 << n) - 1
+
+    def add(part: pd.DataFrame) -> pd.DataFrame:
+        ids, features = explained.value
+        t = int(part["tree"].iloc[0])
+        by_leaf = {leaf: (g["mask"].to_numpy(), g["w"].to_numpy()) for leaf, g in part.groupby("leaf")}
+        out = np.zeros((len(ids), n + 2))
+        for leaf, value, broken in forest.value[t].masks(features, bits):
+            share = np.zeros(1 << n)
+            mask, w = by_leaf[leaf]
+            share[mask] = w
+            share = subset_sums(share, n)  # by coalition: share of the background that the row's variables have to be right for
+            # By the mask that a row breaks: the sums over the coalitions without any of its variables.
+            phi = subset_sums(table * share[:, None], n)[full - broken]
+            out[:, 0] += value * share[0]
+            out[:, 1] += value * np.where(broken == 0, share[full], 0.0)
+            out[:, 2:] += value * phi
+        out /= len(forest.value)
+        return pd.DataFrame({"row_id": ids, "base": out[:, 0], "prediction": out[:, 1], **{f"_phi{i}": out[:, 2 + i] for i in range(n)}})
+
+    names = ["base", "prediction", *(f"_phi{i}" for i in range(n))]
+    schema = f"row_id {own.schema['row_id'].dataType.simpleString()}, " + ", ".join(f"{c} double" for c in names)
+    sums = counted.groupBy("tree").applyInPandas(add, schema).groupBy("row_id").agg(*[F.sum(c).alias(c) for c in names])
+    return sums.join(own.select("row_id", F.struct(*variables).alias("_own")), "row_id")
+
+
+def expanded_sums(fitted: Fitted, rows: DataFrame, row_id: str, others: DataFrame, variables: Sequence[str], table: dict[int, list[float]], score: str) -> DataFrame:
+    """The same columns for any model, by scoring every row with every background profile in every coalition."""
     n = len(variables)
-    if permutations is None and n > MOST_VARIABLES:
-        raise ValueError(f"{n} variables have too many coalitions; ask for permutations")
-    table = exact_coefficients(n) if permutations is None else sampled_coefficients(n, permutations, seed)
-    # A fixed number of background rows, put on every row as one array.
-    chosen = seeded_sample(background.select(*dict.fromkeys([*background_keys, *variables])), background_keys, background_rows, seed)
-    pool = chosen.agg(F.collect_list(F.struct(*variables)).alias("pool")).scalar()
     spread = (
         rows.select(F.col(row_id).alias("row_id"), F.struct(*variables).alias("_own"))
-        .withColumn("_pool", pool)
-        .withColumn("_size", F.size("_pool"))
-        .select("row_id", "_own", "_size", F.explode("_pool").alias("_other"))
+        .crossJoin(others.select(F.struct(*variables).alias("_other"), "_w"))
         .withColumn("_mask", F.explode(F.array(*[F.lit(mask) for mask in sorted(table)])))
     )
     mixed = spread.select(
         "row_id",
         "_own",
-        "_size",
+        "_w",
         "_mask",
         *[
             F.when(F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0, F.col(f"_own.{v}")).otherwise(F.col(f"_other.{v}")).alias(v)
             for i, v in enumerate(variables)
         ],
     )
-    scored = fitted.transform(mixed).select("row_id", "_own", "_size", "_mask", F.col(score).alias("_score"))
+    scored = fitted.transform(mixed).select("row_id", "_own", "_w", "_mask", F.col(score).alias("_score"))
     # One line per coalition: bounded by the number of masks above.
     coefficients = rows.sparkSession.createDataFrame(
         [(mask, *values) for mask, values in sorted(table.items())],
         "_m int, " + ", ".join(f"_c{i} double" for i in range(n)),
     )
     weighted = scored.join(F.broadcast(coefficients), F.col("_mask") == F.col("_m"))
-    mean = F.col("_score") / F.col("_size")
+    mean = F.col("_score") * F.col("_w")
     full = (1 << n) - 1
-    sums = weighted.groupBy("row_id").agg(
+    return weighted.groupBy("row_id").agg(
         F.first("_own").alias("_own"),
         F.sum(F.when(F.col("_mask") == 0, mean)).alias("base"),
         F.sum(F.when(F.col("_mask") == full, mean)).alias("prediction"),
         *[F.sum(F.col(f"_c{i}") * mean).alias(f"_phi{i}") for i in range(n)],
     )
+
+
+def shapley_values(
+    fitted: Fitted,
+    rows: DataFrame,
+    row_id: str,
+    background: DataFrame,
+    background_keys: Sequence[str],
+    background_rows: int | None = None,
+    permutations: int | None = None,
+    score: str = "score",
+    seed: int = 42,
+) -> DataFrame:
+    """Long table ``(row_id, feature, phi, base, prediction)``.
+
+    The background is all rows of the table ``background``, or a seeded sample of ``background_rows``
+    if a number is given. Exact over all coalitions unless a number of ``permutations`` is asked for: then an estimate
+    from so many seeded orders. Too many variables for the exact way raise. In both cases the
+    values of a row add up to its prediction minus the mean background prediction. Explain
+    distinct feature profiles rather than raw rows where rows repeat.
+    """
+    variables = fitted.preprocessor.numeric + fitted.preprocessor.categorical
+    n = len(variables)
+    if permutations is None and n > MOST_VARIABLES:
+        raise ValueError(f"{n} variables have too many coalitions; ask for permutations")
+    chosen = background
+    if background_rows is not None:
+        chosen = seeded_sample(background.select(*dict.fromkeys([*background_keys, *variables])), background_keys, background_rows, seed)
+    # Equal rows are one profile with their share of all rows.
+    profiles = cut_lineage(chosen.groupBy(*variables).agg(F.count(F.lit(1)).alias("_n")))
+    others = profiles.withColumn("_w", F.col("_n") / profiles.agg(F.sum("_n")).scalar())
+    if permutations is None and score == "score" and isinstance(fitted.model, RandomForestClassificationModel):
+        sums = forest_sums(fitted, rows, row_id, others, variables)
+    else:
+        table = exact_coefficients(n) if permutations is None else sampled_coefficients(n, permutations, seed)
+        sums = expanded_sums(fitted, rows, row_id, others, variables, table, score)
     entries = []
     for i, v in enumerate(variables):
         name = F.lit(v)

@@ -42,8 +42,8 @@ def goal_model(train: DataFrame, test: DataFrame, forest: dict | None = None) ->
     }, best
 
 
-def explain(fitted: models.Fitted, train: DataFrame, test: DataFrame, background_rows: int = 16, permutations: int = 16) -> DataFrame:
-    """Importance per variable over the whole test year (sampled orders: eleven variables)."""
+def explain(fitted: models.Fitted, train: DataFrame, test: DataFrame, background_rows: int | None = None, permutations: int | None = None) -> DataFrame:
+    """Importance per variable over the whole test year: all coalitions of the eleven variables, against all of ``train``."""
     rows = test.withColumn("row_id", F.concat_ws("|", *KEYS))
     phi = shapley_values(fitted, rows, "row_id", train, KEYS, background_rows, permutations, seed=SEED)
     importance = attribution.importance_by_feature(phi, rows.agg(F.count(F.lit(1))))

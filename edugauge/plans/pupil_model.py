@@ -91,9 +91,9 @@ def explain(
     keys: Sequence[str] = KEYS,
     sample_rows: int = 2000,
     forest: dict | None = None,
-    background_rows: int = 32,
+    background_rows: int | None = None,
 ) -> dict[str, DataFrame]:
-    """Attribution of the enriched forest on a seeded sample of the test rows.
+    """Attribution of the enriched forest on a seeded sample of the test rows, against all training rows.
 
     The sample is collapsed to its distinct feature profiles, those are explained once, and
     the values are joined back to the rows.

@@ -105,6 +105,17 @@ def test_attribution_adds_up_and_matches_brute_force(spark, frame, exact):
         assert next(r["phi"] for r in phi if r["row_id"] == 5 and r["feature"] == "x") == pytest.approx(expected)
 
 
+def test_attribution_takes_all_background_rows_and_the_leaf_sums_equal_the_expansion(spark, frame):
+    fitted = models.fit(frame, models.forest({"numTrees": 5, "maxDepth": 4, "minInstancesPerNode": 5}), ["x"], ["region", "dep"])
+    mean = fitted.transform(frame).agg(F.avg("score")).first()[0]
+    explained, variables = frame.filter("id in (0, 1, 2, 7)"), ["x", "region", "dep"]
+    phi = {(r["row_id"], r["feature"].split("=")[0]): r for r in shap.shapley_values(fitted, explained, "id", frame, ["id"]).collect()}
+    assert len(phi) == 12 and all(r["base"] == pytest.approx(mean) for r in phi.values())
+    others = frame.groupBy(*variables).agg((F.count(F.lit(1)) / 1200).alias("_w"))
+    for r in shap.expanded_sums(fitted, explained, "id", others, variables, shap.exact_coefficients(3), "score").collect():
+        assert [phi[r["row_id"], v]["phi"] for v in variables] == pytest.approx([r[f"_phi{i}"] for i in range(3)], abs=1e-9)
+
+
 def municipal_tables(spark):
     rng = np.random.default_rng(1)
     states = ["CE", "SP", "PA", "RS"]

@@ -11,6 +11,7 @@ from workloads import models as workload
     [
         ("rf_compare", "pupil_model", "compare", ("train", "test")),
         ("cv_search", "pupil_model", "tune", ("train", "test", ["pupil_key"])),
+        ("shapley", "pupil_model", "explain", ("train", "test", ["pupil_key"])),
         ("goal_model", "municipal_model", "goal_model", ("train", "test")),
         ("goal_thresholds", "municipal_model", "goal_model", ("train", "test")),
         ("goal_grid_search", "municipal_model", "tune", ("train", "test")),

@@ -73,7 +73,7 @@ def cv_search(spark, sf):
 @query("shapley")
 def shapley(spark, sf):
     train, test = _split(spark, sf)
-    return pupil_model.explain(train, test, KEYS, sample_rows=200, background_rows=8)["importance"]
+    return pupil_model.explain(train, test, KEYS)["importance"]
 
 
 @query("goal_model")
