@@ -7,10 +7,11 @@ is linear, the trained model folds into one number for each bucket, which is wha
 numbers of a text's bag, plus a bias.
 
 Training takes a bounded sample, ``max_docs`` labelled documents and ``max_bytes`` of text, chosen by hash in
-equal parts from both classes; it runs on the driver. Every document is scored, by its whole text.
+equal parts from both classes; it runs on the driver. A text that does not fit what is left of the bytes is passed over. Every document is scored, by its whole text.
 
 Defined cases: null and empty texts, and texts of blanks, have an empty bag and the score of the bias alone. Labels
-that are null, or whose document is missing, are ignored; repeated labels or ids train as often as they are met.
+that are null, or whose document is missing, are ignored. A repeated id trains once, by its shortest text (the smallest hash among
+equally long ones), and is toxic if any of its labels says so. A class whose labelled texts are all too long for the sample raises.
 Without labels of both classes every score is the share of label 1 (0 without labels). Columns of the table are kept
 but for those that the result writes.
 """
@@ -178,22 +179,24 @@ def train(texts: list[str], labels: list[int], dims: int = 8, steps: int = 16_00
 
 def training_rows(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str, text_col: str, max_docs: int, max_bytes: int) -> tuple[list[str], list[int]]:
     """The bounded sample: half of it from each class, smallest hashes first, as many as fit ``max_bytes``."""
-    known = labels.filter(~held_out & F.col("toxic").isin(0, 1)).select(quoted(id_col).alias("__llm_id"), F.col("toxic").cast("int").alias("__llm_toxic"))
+    known = labels.filter(~held_out & F.col("toxic").isin(0, 1)).groupBy(quoted(id_col).alias("__llm_id")).agg(F.max("toxic").cast("int").alias("__llm_toxic"))
     texts = docs.select(quoted(id_col).alias("__llm_id"), F.coalesce(quoted(text_col).cast("string"), F.lit("")).alias("__llm_text"))
-    sized = texts.select("__llm_id", F.octet_length("__llm_text").alias("size")).join(known, "__llm_id").withColumn("h", F.xxhash64("__llm_id"))
-    picked = {}
+    texts = texts.withColumn("__llm_rank", F.struct(F.octet_length("__llm_text").alias("size"), F.xxhash64("__llm_text").alias("hash")))
+    sized = texts.select("__llm_id", "__llm_rank").join(known, "__llm_id").groupBy("__llm_id", "__llm_toxic").agg(F.min("__llm_rank.size").alias("size")).withColumn("h", F.xxhash64("__llm_id"))
+    picked, most = {}, max_bytes // 2
     for label in (0, 1):
-        rows = sized.filter(F.col("__llm_toxic") == label).orderBy("h", "__llm_id").limit(max_docs // 2).collect()
-        left = max_bytes // 2
-        for row in rows:
-            if row["size"] > left:
-                break
-            left -= row["size"]
-            picked[row["__llm_id"]] = label
+        own = sized.filter(F.col("__llm_toxic") == label)
+        left, before = most, len(picked)
+        for row in own.filter(F.col("size") <= most).orderBy("h", "__llm_id").limit(max_docs // 2).collect():
+            if row["size"] <= left:
+                left -= row["size"]
+                picked[row["__llm_id"]] = label
+        if len(picked) == before and not own.isEmpty():
+            raise ValueError(f"no labelled text of class {label} fits the sample of {max_docs} documents and {max_bytes} bytes")
     if not picked:
         return [], []
     chosen = F.broadcast(docs.sparkSession.createDataFrame(list(picked.items()), "__llm_id long, __llm_toxic int"))  # max_docs rows
-    found = texts.join(chosen, "__llm_id").limit(2 * max_docs).collect()
+    found = texts.join(chosen, "__llm_id").groupBy("__llm_id", "__llm_toxic").agg(F.min_by("__llm_text", "__llm_rank").alias("__llm_text")).collect()
     found = sorted((r["__llm_id"], r["__llm_text"], r["__llm_toxic"]) for r in found)
     return [t for _, t, _ in found], [c for _, _, c in found]
 

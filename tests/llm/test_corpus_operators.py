@@ -192,6 +192,22 @@ def test_toxicity_odd_rows(spark, docs, empty):
     assert toxicity.score(empty, toxicity.fit(empty, labels, F.lit(False))).count() == 0
 
 
+def test_toxicity_sample_passes_over_long_texts_and_takes_an_id_once(spark):
+    kind = "doc_id long, text string"
+    first = min(range(40), key=lambda i: spark.sql(f"select xxhash64({i}L)").first()[0])
+    data = [(i, "x" * 90 if i == first else f"text {i}") for i in range(40)] + [(100, "far" * 60)]
+    labels = spark.createDataFrame([(i, int(i % 2 == first % 2)) for i in range(40)] + [(100, 1)], "doc_id long, toxic int")
+    texts, classes = toxicity.training_rows(spark.createDataFrame(data, kind), labels, F.lit(False), "doc_id", "text", 1000, 100)
+    assert sum(classes) >= 1 and classes.count(0) >= 1 and sum(len(t) for t in texts) <= 100
+    short = toxicity.training_rows(spark.createDataFrame(data, kind), labels, F.lit(False), "doc_id", "text", 1000, 160)
+    assert sum(short[1]) > 5  # the text of 90 bytes comes first in hash order and does not fit 80
+    repeated = spark.createDataFrame([(i, t + " again" * k) for i, t in data[:4] for k in range(50)], kind)
+    few = toxicity.training_rows(repeated, labels, F.lit(False), "doc_id", "text", 4, 10_000)
+    assert sorted(few[0]) == sorted(t for _, t in data[:4]) and sorted(few[1]) == [0, 0, 1, 1]
+    with pytest.raises(ValueError, match="class 1"):
+        toxicity.fit(spark.createDataFrame([(0, "a"), (1, "b" * 200)], kind), spark.createDataFrame([(0, 0), (1, 1)], "doc_id long, toxic int"), F.lit(False), max_bytes=100)
+
+
 def test_language_held_out(spark, docs, empty):
     rng = random.Random(5)
     words = {"xx": ["abra", "kadab", "bara"], "yy": ["tillo", "mello", "fell"], "zz": ["жук", "мука", "кум"]}
