@@ -127,7 +127,7 @@ def list_entries(pages: DataFrame) -> DataFrame:
     """Dated list entries for every host, parent domain and directory of the captures, drawn from the key's hash."""
     url = F.col("url")
     keys = pages.select(url_filters.host_of(url).alias("h"), url_filters.directory_of(url).alias("d")).filter("h is not null").distinct()
-    keys = keys.select(F.explode(url_filters.covering_keys(F.col("h"), F.col("d"))).alias("key")).distinct()
+    keys = keys.select(F.explode(url_filters.covering_keys(F.col("h"), F.col("d"), widest=False)).alias("key")).distinct()
     lists = F.array(*[F.struct(F.lit(n).alias("list_name"), F.lit(b).alias("blocks")) for n, b in LISTS])
     keys = keys.withColumn("list", F.element_at(lists, _draw(len(LISTS), "list:", F.col("key")) + 1))
     events = keys.select("key", "list.list_name", "list.blocks", F.explode(F.sequence(F.lit(0), F.lit(EVENTS - 1))).alias("i"))

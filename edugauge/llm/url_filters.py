@@ -1,8 +1,9 @@
 """Temporal URL list join: dated list entries become validity intervals, captures are judged as of their fetch time.
 
 Entries are ``(list_name, blocks, key, action, day)``: on ``day`` the key is put on the list (``add``) or taken off
-(``remove``). A key is a host name, which also covers its subdomains, or a host followed by a directory path, which
-covers everything below it. Per list and key the events become intervals ``[valid_from, valid_to)``.
+(``remove``). A key is a host name, which also covers its subdomains (the last label alone a whole top-level domain), or
+a host followed by a directory path, which covers everything below it on that host. The case of a host does not matter, that of a path does;
+a path's closing slash may be left out. Per list and key the events become intervals ``[valid_from, valid_to)``.
 
 Captures are not joined with intervals one by one. The distinct sites (host and directory) of all captures are matched
 with the intervals of every host suffix and path prefix, which gives each site a short sorted list of steps in time;
@@ -40,20 +41,29 @@ def directory_of(url: Column) -> Column:
     return F.when(path == "", F.lit("/")).otherwise(path)
 
 
-def covering_keys(host: Column, directory: Column) -> Column:
-    """Every key that covers a site: host suffixes of two labels or more, and the host with each directory above."""
+def covering_keys(host: Column, directory: Column, widest: bool = True) -> Column:
+    """Every key that covers a site: its host suffixes, and the host with each directory above. Only with ``widest``
+    the last label of a longer host, and the host's root directory, are among them."""
     labels = F.split(host, r"\.")
     n = F.size(labels)
-    suffixes = F.transform(F.sequence(F.lit(1), F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n), "."))
+    suffixes = F.transform(F.sequence(F.lit(1), n if widest else F.greatest(n - 1, F.lit(1))), lambda i: F.array_join(F.slice(labels, i, n), "."))
     steps = F.split(F.btrim(directory, F.lit("/")), "/", -1)
     depth = F.when(directory == "/", F.lit(0)).otherwise(F.size(steps))
     paths = F.transform(F.sequence(F.lit(1), F.greatest(depth, F.lit(1))), lambda i: F.concat(host, F.lit("/"), F.array_join(F.slice(steps, 1, i), "/"), F.lit("/")))
+    if widest:
+        suffixes = F.concat(suffixes, F.array(F.concat(host, F.lit("/"))))
     return F.array_distinct(F.when(depth > 0, F.concat(suffixes, paths)).otherwise(suffixes))
 
 
+def entry_key(key: Column) -> Column:
+    """A listed key as ``covering_keys`` writes it: its host in lower case, its path, if any, closed by a slash."""
+    host, path = F.lower(F.substring_index(key, "/", 1)), F.regexp_extract(key, "^[^/]*(/.*)?$", 1)
+    return F.concat(host, path, F.when((path == "") | path.endswith("/"), F.lit("")).otherwise(F.lit("/")))
+
+
 def intervals(entries: DataFrame) -> DataFrame:
     """Validity intervals ``list_name, blocks, key, valid_from, valid_to``; an open end is null."""
-    dated = entries.select("list_name", "blocks", F.lower("key").alias("key"), "action", F.col("day").cast("date").alias("day"))
+    dated = entries.select("list_name", "blocks", entry_key(F.col("key")).alias("key"), "action", F.col("day").cast("date").alias("day"))
     dated = dated.dropna(subset=["list_name", "key", "action", "day"])
     daily = dated.groupBy("list_name", "key", "day").agg(F.max(F.coalesce("blocks", F.lit(False))).alias("blocks"), (F.max((F.col("action") == "remove").cast("int")) == 0).alias("on"))
     by = Window.partitionBy("list_name", "key").orderBy("day")

@@ -381,6 +381,18 @@ def test_url_lists_as_of_fetch_day(spark):
     assert url_filters.judge(captures.limit(0), spark.createDataFrame(entries, kind)).count() == 0
 
 
+def test_url_keys_keep_the_case_of_paths_and_cover_whole_domains(spark):
+    keys = ["Host.net/Ads/", "open.net/Dir", "ROOT.net/", "zip", "Both.net/a/B", "both.net/a/B/"]
+    entries = spark.createDataFrame([("ads", True, k, "add", "2024-01-01") for k in keys], "list_name string, blocks boolean, key string, action string, day string")
+    cases = [
+        ("http://host.net/Ads/x", "host.net/Ads/"), ("http://HOST.net/Ads/", "host.net/Ads/"), ("http://host.net/ads/x", None), ("http://open.net/Dir/x", "open.net/Dir/"),
+        ("http://open.net/Dirt/x", None), ("http://root.net/any/x", "root.net/"), ("http://www.root.net/x", None), ("http://a.b.zip/x", "zip"), ("http://zip.net/x", None), ("http://both.net/a/B/c/", "both.net/a/B/"),
+    ]
+    captures = spark.createDataFrame([(i, u, "2024-02-01") for i, (u, _) in enumerate(cases)], "page_id long, url string, fetch_day string")
+    found = {r["page_id"]: r["matched_key"] for r in url_filters.judge(captures, entries).collect()}
+    assert [found[i] for i in range(len(cases))] == [key for _, key in cases]
+
+
 def test_crc_of_id_is_crc_of_its_text(spark):
     from edugauge.llm.common import crc_of_id
 
