@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from edugauge.llm import bpe, exact_dedup, language, line_dedup, mixing, ngram_join, resharding, toxicity, url_filters, winnowing
-from edugauge.llm.common import crc_of_id
+from edugauge.llm import bpe, exact_dedup, language, line_dedup, manifest, mixing, ngram_join, resharding, topk_join, toxicity, url_filters, vector_codes, winnowing
+from edugauge.llm.common import ascii_lower, broadcast_if_small, crc_of_id, quoted, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -272,3 +272,147 @@ FROM n JOIN c ON c.doc_id = n.doc_id
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document with the smallest id that links of similar shingle sets reach."""
     return ngram_join.link(table(spark, sf_dir, "documents"), shingle=3, num=90, den=100)
+
+
+# ---- 11: vector code compression -------------------------------------------------------------------------------------
+
+PARTS, ENTRIES, ROUNDS, CODE_SCALE = 16, 64, 2, 256
+
+_WHOLE_SQL = "embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0"
+
+
+def _assign_sql(book: str) -> str:
+    return f"""SELECT uid, part, arg_min(entry, (distance, entry)) AS entry, min(distance) AS distance
+               FROM (SELECT p.uid, p.part, b.entry, list_sum(list_transform(list_zip(p.x, b.x), lambda t: (t[1] - t[2]) * (t[1] - t[2]))) AS distance
+                     FROM p JOIN {book} b ON b.part = p.part) GROUP BY uid, part"""
+
+
+def _moved_sql(book: str, assigned: str) -> str:
+    return f"""SELECT part, entry, coalesce(m.x, b.x) AS x FROM {book} b LEFT JOIN (
+                   SELECT part, entry, list(mean ORDER BY place) AS x FROM (
+                       SELECT part, entry, place, (sum(c) - ((sum(c) % count(*)) + count(*)) % count(*)) // count(*) AS mean
+                       FROM (SELECT a.part, a.entry, generate_subscripts(p.x, 1) AS place, unnest(p.x) AS c FROM {assigned} a JOIN p USING (uid, part))
+                       GROUP BY part, entry, place) GROUP BY part, entry) m USING (part, entry)"""
+
+
+OP11_SQL = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS uid, vec_id, label, [CAST(floor({CODE_SCALE} * CAST(x AS DOUBLE)) AS BIGINT) FOR x IN embedding] AS x
+                        FROM embeddings WHERE {_WHOLE_SQL}),
+     p AS MATERIALIZED (SELECT uid, vec_id, part, x[(part * len(x)) // {PARTS} + 1:((part + 1) * len(x)) // {PARTS}] AS x FROM v, range(0, {PARTS}) AS t(part)),
+     first AS (SELECT uid, row_number() OVER (ORDER BY vec_id, x) - 1 AS entry FROM v QUALIFY entry < {ENTRIES}),
+     b0 AS MATERIALIZED (SELECT part, entry, x FROM p JOIN first USING (uid)),
+     a0 AS MATERIALIZED ({_assign_sql("b0")}),
+     b1 AS MATERIALIZED ({_moved_sql("b0", "a0")}),
+     a1 AS MATERIALIZED ({_assign_sql("b1")}),
+     b2 AS MATERIALIZED ({_moved_sql("b1", "a1")}),
+     a2 AS MATERIALIZED ({_assign_sql("b2")}),
+     e AS (SELECT uid, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(distance) AS error FROM a2 GROUP BY uid)
+SELECT vec_id, code, CAST(error AS BIGINT) AS error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+       (SELECT sha256(coalesce(string_agg(array_to_string(x, ','), ',' ORDER BY part, entry), '')) FROM b2) AS codebooks_sha256
+FROM v JOIN e USING (uid)
+"""
+
+
+@query("op11_vector_codes", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every vector's code by codebooks of 16 parts with 64 entries each."""
+    vectors = table(spark, sf_dir, "embeddings")
+    book = vector_codes.fit(vectors, "vec_id", "embedding", PARTS, ENTRIES, ROUNDS, CODE_SCALE)
+    coded = store(vector_codes.encode(vectors.select("vec_id", "label", "embedding"), book, "embedding"), "codes")
+    by_label = coded.groupBy(F.col("label").alias("_label")).agg(F.sum("error").alias("label_error"))
+    joined = coded.join(broadcast_if_small(store(by_label, "label_errors"), 32), F.col("label").eqNullSafe(F.col("_label")))
+    return joined.select("vec_id", F.lower(F.hex("code")).alias("code"), "error", "label_error", sha(F.lit(book.text())).alias("codebooks_sha256"))
+
+
+# ---- 12: exact top-k search ------------------------------------------------------------------------------------------
+
+TOP_K, QUERY_STEP, PRODUCT_SCALE = 20, 20, 64
+
+OP12_SQL = f"""
+WITH v AS MATERIALIZED (SELECT row_number() OVER () AS uid, vec_id, [floor({PRODUCT_SCALE} * CAST(x AS DOUBLE)) FOR x IN embedding] AS x FROM embeddings WHERE {_WHOLE_SQL}),
+     s AS (SELECT q.uid, q.vec_id AS query_id, c.vec_id, c.uid AS other, CAST(list_sum(list_transform(list_zip(q.x, c.x), lambda t: t[1] * t[2])) AS BIGINT) AS score
+           FROM v q JOIN v c ON c.uid <> q.uid WHERE q.vec_id % {QUERY_STEP} = 0)
+SELECT query_id, CAST(row_number() OVER (PARTITION BY uid ORDER BY score DESC, vec_id NULLS LAST, other) AS INTEGER) AS rank, vec_id, score
+FROM s QUALIFY rank <= {TOP_K}
+"""
+
+
+@query("op12_voronoi_topk", OP12_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The twenty rows of the largest inner product with every twentieth vector, among all rows."""
+    return topk_join.top_k(table(spark, sf_dir, "embeddings"), F.col("vec_id") % QUERY_STEP == 0, TOP_K, PRODUCT_SCALE)
+
+
+# ---- 13: Merkle manifest ---------------------------------------------------------------------------------------------
+
+#: Levels that the text reaches up to, for trees of a group and of the groups; a group of more than 8 ** 7 rows needs more.
+_TREE_LEVELS = 7
+
+
+def _tree_sql(name: str, leaves: str) -> str:
+    """Nodes ``{name}`` by level of the trees over ``leaves (grp, place, h)``."""
+    parts = [f"{name}0 AS MATERIALIZED (SELECT grp, place, h FROM {leaves})"]
+    for level in range(_TREE_LEVELS):
+        parts.append(
+            f"{name}{level + 1} AS MATERIALIZED (SELECT grp, place // 8 AS place, sha256(string_agg(h, '' ORDER BY place)) AS h FROM {name}{level} "
+            f"WHERE grp IN (SELECT grp FROM {name}{level} GROUP BY grp HAVING count(*) > 1) GROUP BY grp, place // 8)"
+        )
+        parts.append(
+            f"{name}{level}_run AS MATERIALIZED (SELECT a.grp, a.place, coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place < a.place), '') AS l, "
+            f"coalesce(string_agg(b.h, '' ORDER BY b.place) FILTER (b.place > a.place), '') AS r FROM {name}{level} a JOIN {name}{level} b ON b.grp = a.grp AND b.place // 8 = a.place // 8 "
+            f"WHERE a.grp IN (SELECT grp FROM {name}{level} GROUP BY grp HAVING count(*) > 1) GROUP BY a.grp, a.place)"
+        )
+    every = " UNION ALL ".join(f"SELECT {level} AS level, grp, place, h FROM {name}{level}" for level in range(_TREE_LEVELS + 1))
+    parts.append(f"{name}_root AS MATERIALIZED (SELECT grp, arg_max(h, level) AS root FROM ({every}) WHERE place = 0 GROUP BY grp)")
+    return ", ".join(parts)
+
+
+def _fold_sql(name: str, source: str, out: str) -> str:
+    """``source (id, grp, place, proof, claim)`` moved up the trees ``name``."""
+    parts, last = [], source
+    for level in range(_TREE_LEVELS):
+        this = f"{out}{level + 1}" if level < _TREE_LEVELS - 1 else out
+        parts.append(
+            f"{this} AS MATERIALIZED (SELECT s.id, s.grp, s.place // 8 AS place, s.proof || coalesce(r.l || r.r, '') AS proof, "
+            f"CASE WHEN r.grp IS NULL THEN s.claim ELSE sha256(r.l || s.claim || r.r) END AS claim FROM {last} s LEFT JOIN {name}{level}_run r ON r.grp = s.grp AND r.place = s.place)"
+        )
+        last = this
+    return ", ".join(parts)
+
+
+def _leaf_sql(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(CAST(strlen({f}) AS VARCHAR) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+#: crc32 of a text of digits: eight shifts a character.
+_CRC_SQL = (
+    "xor(4294967295, list_reduce(list_concat([4294967295], flatten([[CAST(ascii(c) AS BIGINT), -1, -1, -1, -1, -1, -1, -1, -1] FOR c IN string_split(CAST(doc_id AS VARCHAR), '')])), "
+    "lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END))"
+)
+OP13_SQL = f"""
+WITH raw AS MATERIALIZED (SELECT doc_id, lang, {_leaf_sql("text")} AS leaf,
+                 CASE WHEN {_CRC_SQL} % 3 = 0 THEN {_leaf_sql("translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')")} ELSE {_leaf_sql("text")} END AS claim FROM documents),
+     d AS MATERIALIZED (SELECT row_number() OVER () AS id, doc_id, leaf, claim, dense_rank() OVER (ORDER BY lang NULLS FIRST) - 1 AS grp,
+                 row_number() OVER (PARTITION BY lang ORDER BY doc_id NULLS FIRST, leaf) - 1 AS place FROM raw),
+     leaves AS (SELECT grp, place, leaf AS h FROM d),
+     {_tree_sql("n", "leaves")},
+     tops AS (SELECT 0 AS grp, grp AS place, root AS h FROM n_root),
+     {_tree_sql("t", "tops")},
+     f0 AS (SELECT id, grp, place, '' AS proof, claim FROM d),
+     {_fold_sql("n", "f0", "f")},
+     g0 AS (SELECT f.id, 0 AS grp, d.grp AS place, f.proof, f.claim FROM f JOIN d USING (id)),
+     {_fold_sql("t", "g0", "g")}
+SELECT d.doc_id, d.leaf, n_root.root AS subroot, t_root.root AS root, sha256(g.proof) AS proof_sha256, g.claim AS folded_root, g.claim = t_root.root AS verified
+FROM d JOIN g USING (id) JOIN n_root ON n_root.grp = d.grp CROSS JOIN t_root
+"""
+
+
+@query("op13_merkle_manifest", OP13_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's leaf and proof; a third of them is verified as a copy in lower case."""
+    docs = table(spark, sf_dir, "documents")
+    received = {c: quoted(c) for c in manifest.FIELDS} | {"text": F.when(crc_of_id("doc_id") % 3 == 0, ascii_lower(F.col("text"))).otherwise(F.col("text"))}
+    proved = manifest.manifest(docs, claim=manifest.leaf(list(received.values())))
+    checked = proved.withColumn("folded_root", manifest.folded("claim"))
+    return checked.select("doc_id", "leaf", "subroot", "root", manifest.digest(F.col("proof")).alias("proof_sha256"), "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"))
