@@ -8,7 +8,8 @@ each live end, the tokens of its encoding that are not emitted yet. Tokens on wh
 emitted, after a lookahead of at most one token length. States and transitions are built when a text first needs them and kept
 in a table of bounded size, which starts anew when it is full; the output never depends on that.
 
-Matches of the pattern are encoded one by one, as the pattern splits the text; the output of frequent matches is kept.
+Matches of the pattern are encoded one by one, as the pattern splits the text; the output of frequent matches is kept, in two
+generations of bounded bytes.
 
 Decoding looks up the bytes of each id. Runs of tokens that hold whole characters are passed on at once; all others
 step an incremental UTF-8 state machine byte by byte, which holds the bytes of an unfinished character until the next token and
@@ -30,16 +31,17 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import regex
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 from edugauge.llm.common import keep_columns, map_arrow, quoted, slices
 
 #: Transitions kept in a worker; a full table starts anew.
-MAX_TRANSITIONS = 1_000_000
-#: Outputs of matches kept in a worker: the first ones met, which the frequent ones are among.
-MAX_MATCHES = 600_000
+MAX_TRANSITIONS = 800_000
+#: Bytes of the outputs of matches kept in a worker, about, in each of two generations.
+MATCH_BYTES = 64_000_000
 
 NEVER = 1 << 60
 
@@ -57,22 +59,28 @@ def read_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
 
 
 class Transducer:
-    """Encoder of single matches for one vocabulary."""
+    """Encoder of single matches for one vocabulary.
+
+    A state is the last token emitted, if the next step can still depend on it (else -1), and the ids of the tokens pending at each
+    live end, from left to right. A transition is a number made of the next state and the place of its output.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         self.ranks = ranks
-        self.spines: dict[bytes, tuple[list[bytes], list[bytes]]] = {}
+        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.spines: dict[bytes, tuple[tuple[int, ...], tuple[int, ...]]] = {}
         self.prefixes = {token[:n] for token in ranks for n in range(1, len(token) + 1)}
         self.longest = max(map(len, ranks))
-        self.reachable = {token for token in ranks if self._reached(token)}
+        self.unreached = {token for token in ranks if not self._reached(token)}
         self._reset()
 
     def _reset(self) -> None:
         self.states: dict[tuple, int] = {}
         self.parts: list[tuple] = []
-        self.final: list[tuple[int, ...]] = []
-        self.steps: dict[int, tuple[int, tuple[int, ...]]] = {}
-        self._intern((b"", ((b"", ()),)))
+        self.steps: dict[int, int] = {}
+        self.outputs: dict[tuple[int, ...], int] = {(): 0}
+        self.output: list[tuple[int, ...]] = [()]
+        self._intern((-1, ()))
 
     def _reached(self, token: bytes) -> bool:
         """Whether merging the token's bytes gives the token, by ranks that rise from the parts to the whole."""
@@ -88,9 +96,9 @@ class Transducer:
             parts[at : at + 2] = [merged]
         return True
 
-    def _spines(self, token: bytes) -> tuple[list[tuple[bytes, int]], list[tuple[bytes, int]]]:
-        """Pieces at the right and at the left edge of a token while it is merged, from single bytes to the token, each with
-        the rank at which it grows into the next one.
+    def _spines(self, token: bytes) -> tuple[tuple[int, ...], tuple[int, ...]]:
+        """Pieces at the right and at the left edge of a token while it is merged, from single bytes to the token: of each its
+        length and the rank at which it grows into the next one, in turn.
         """
         known = self.spines.get(token)
         if known is None:
@@ -99,11 +107,11 @@ class Transducer:
             while len(parts) > 1:
                 rank, at = min((self.ranks.get(a + b, NEVER), i) for i, (a, b) in enumerate(zip(parts, parts[1:])))
                 if at == len(parts) - 2:
-                    right.append((parts[-1], rank))
+                    right += [len(parts[-1]), rank]
                 if at == 0:
-                    left.append((parts[0], rank))
+                    left += [len(parts[0]), rank]
                 parts[at : at + 2] = [parts[at] + parts[at + 1]]
-            known = self.spines[token] = ([*right, (token, NEVER)], [*left, (token, NEVER)])
+            known = self.spines[token] = ((*right, len(token), NEVER), (*left, len(token), NEVER))
         return known
 
     def _neighbours(self, left: bytes, right: bytes) -> bool:
@@ -112,17 +120,18 @@ class Transducer:
         The edge pieces on both sides grow in the order of their ranks; a merge across the border happens if its rank comes
         before the next growth on either side (a growth on the left goes first among equals, one on the right last).
         """
-        rank = self.ranks.get
-        ours, theirs = iter(self._spines(left)[0]), iter(self._spines(right)[1])
-        (a, grow), (b, other) = next(ours), next(theirs)
+        rank, border, both = self.ranks.get, len(left), left + right
+        ours, theirs = self._spines(left)[0], self._spines(right)[1]
+        i = j = 0
         while True:
-            across = rank(a + b, NEVER)
+            grow, other = ours[i + 1], theirs[j + 1]
+            across = rank(both[border - ours[i] : border + theirs[j]], NEVER)
             if across < grow and across <= other:
                 return False
             if grow > other:
-                b, other = next(theirs)
+                j += 2
             elif grow < NEVER:
-                a, grow = next(ours)
+                i += 2
             else:
                 return True
 
@@ -131,33 +140,45 @@ class Transducer:
         if number is None:
             number = self.states[state] = len(self.parts)
             self.parts.append(state)
-            self.final.append(state[1][-1][1])
         return number
 
-    def _step(self, number: int, byte: int) -> tuple[int, tuple[int, ...]]:
-        """A state is the longest suffix that begins a token, and for each position in it (the last is the end) the last
-        token before that position that was emitted or is pending, with the ids of the pending ones.
+    def _step(self, number: int, byte: int) -> int:
+        """Transition of a state. Its text is the longest suffix that begins a token, with an end at each position; the last token
+        before an end is its last pending one, or else the last one emitted.
         """
-        suffix, ends = self.parts[number]
-        text = suffix + bytes((byte,))
-        for start, (last, pending) in enumerate(ends):
+        emitted, *ends = self.parts[number]
+        tokens, rank = self.tokens, self.ranks.get
+        text = b"".join(map(tokens.__getitem__, ends[-1]))
+        text = text[len(text) - len(ends) + 1 :] + bytes((byte,))
+        for start, pending in enumerate(ends):
             token = text[start:]
-            if token in self.reachable and (not last or self._neighbours(last, token)):
-                break
+            found = rank(token)
+            if found is not None and token not in self.unreached:
+                last = pending[-1] if pending else emitted
+                if last < 0 or self._neighbours(tokens[last], token):
+                    break
         else:
             raise ValueError(f"the vocabulary cannot encode byte {byte}")
-        cut = max(0, len(text) + 1 - self.longest)
-        while cut < len(text) and text[cut:] not in self.prefixes:
+        cut, prefixes = max(0, len(text) + 1 - self.longest), self.prefixes
+        while cut < len(text) and text[cut:] not in prefixes:
             cut += 1
-        ends = (*ends[cut:], (token, (*pending, self.ranks[token])))
-        first = ends[0][1]
-        if not first:
-            return self._intern((text[cut:], ends)), ()
-        shared, common = 0, min(len(pending) for _, pending in ends)
-        while shared < common and all(pending[shared] == first[shared] for _, pending in ends):
+        ends = [*ends[cut:], (*pending, found)]
+        first, shared, common = ends[0], 0, min(map(len, ends))
+        while shared < common and all(pending[shared] == first[shared] for pending in ends):
             shared += 1
-        ends = tuple((last, pending[shared:]) for last, pending in ends)
-        return self._intern((text[cut:], ends)), first[:shared]
+        if shared:
+            ends = [pending[shared:] for pending in ends]
+            emitted = first[shared - 1]
+        if common > shared:
+            emitted = -1
+        place = 0
+        if shared:
+            out = first[:shared]
+            place = self.outputs.get(out)
+            if place is None:
+                place = self.outputs[out] = len(self.output)
+                self.output.append(out)
+        return self._intern((emitted, *ends)) << 24 | place
 
     def encode(self, data: bytes) -> list[int]:
         """Ids of one match."""
@@ -172,24 +193,30 @@ class Transducer:
                     steps, state = self.steps, self._intern(kept)
                     key = state << 8 | byte
                 step = steps[key] = self._step(state, byte)
-            state, out = step
-            if out:
-                ids.extend(out)
-        ids.extend(self.final[state])
+            state, place = step >> 24, step & 0xFFFFFF
+            if place:
+                ids.extend(self.output[place])
+        ids.extend(self.parts[state][-1])
         return ids
 
 
 class _Matches(dict):
-    """Output of frequent matches as packed ids."""
+    """Output of frequent matches as packed ids. A full generation becomes the old one; what is met again moves to the young one."""
 
     def __init__(self, transducer: Transducer):
         super().__init__()
-        self.transducer = transducer
+        self.transducer, self.old, self.bytes = transducer, {}, 0
 
     def __missing__(self, match: str) -> bytes:
-        ids = self.transducer.encode(match.encode("utf-8", "replace"))
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(match) <= 32 and len(self) < MAX_MATCHES:
+        packed = self.old.get(match)
+        if packed is None:
+            ids = self.transducer.encode(match.encode("utf-8", "replace"))
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(match) <= 32:
+            self.bytes += 200 + 2 * len(match) + len(packed)
+            if self.bytes > MATCH_BYTES:
+                self.old, self.bytes = dict(self), 0
+                self.clear()
             self[match] = packed
         return packed
 
@@ -217,9 +244,14 @@ def ascii_pattern(pattern: str) -> re.Pattern | None:
     return re.compile("".join(out), re.ASCII)
 
 
-def _encoder(ranks: dict[bytes, int], pattern: str) -> tuple[Callable[[str], list[str]], _Matches]:
+def _identity(ranks: dict[bytes, int]) -> tuple:
+    """What tells one vocabulary from another within an application."""
+    return len(ranks), hash(frozenset(ranks.items()))
+
+
+def _encoder(ranks: dict[bytes, int], pattern: str, identity: tuple | None = None) -> tuple[Callable[[str], list[str]], _Matches]:
     """One encoder for each vocabulary and pattern in a Python worker."""
-    key = ("encoder", len(ranks), hash(frozenset(ranks.items())), pattern)
+    key = ("encoder", identity or _identity(ranks), pattern)
     if key not in _built:
         split = regex.compile(pattern).findall
         plain = ascii_pattern(pattern)
@@ -228,26 +260,60 @@ def _encoder(ranks: dict[bytes, int], pattern: str) -> tuple[Callable[[str], lis
     return _built[key]
 
 
-def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text") -> DataFrame:
-    """Columns of ``docs`` without the text, plus ``ids`` (binary: little-endian unsigned 32-bit integers)."""
-    shared = docs.sparkSession.sparkContext.broadcast(ranks)  # one vocabulary
-    kept = keep_columns(docs, text_col, "ids")
-    plain = docs.select(*kept, quoted(text_col).cast("string").alias("__llm_text"))
+def _packer(identity: tuple, ranks: dict[bytes, int], pattern: str) -> Callable[[pa.Array], list[bytes]]:
+    """Texts to packed ids."""
+    split, matches = _encoder(ranks, pattern, identity)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        split, matches = _encoder(shared.value, pattern)
+    def pack(texts: pa.Array) -> list[bytes]:
         gc.disable()  # the tables hold no cycles, and walking through them again and again takes as long as building them
         try:
-            for batch in slices(batches):
-                texts = batch.column(batch.num_columns - 1)
-                packed = [b"".join(map(matches.__getitem__, split(t.as_py() or ""))) for t in texts]
-                gc.collect(0)
-                yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(packed, pa.binary())], names=[*batch.schema.names[:-1], "ids"])
+            return [b"".join(map(matches.__getitem__, split(t.as_py() or ""))) for t in texts]
         finally:
             gc.enable()
 
-    schema = T.StructType([*plain.schema.fields[:-1], T.StructField("ids", T.BinaryType())])
-    return map_arrow(plain, run, schema)
+    return pack
+
+
+def _add(docs: DataFrame, source: Column, gone: str, added: dict[str, T.DataType], function: Callable[[], Callable[[pa.Array], list[list]]]) -> DataFrame:
+    """Columns of ``docs`` but ``gone``, plus what ``function``, made once in a task, gives for ``source``."""
+    kept = keep_columns(docs, gone, *added)
+    plain = docs.select(*kept, source.alias("__llm_source"))
+    types = [to_arrow_type(kind) for kind in added.values()]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        work = function()
+        for batch in slices(batches):
+            columns = [pa.array(values, kind) for values, kind in zip(work(batch.column(batch.num_columns - 1)), types)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], *columns], names=[*batch.schema.names[:-1], *added])
+
+    return map_arrow(plain, run, T.StructType([*plain.schema.fields[:-1], *(T.StructField(name, kind) for name, kind in added.items())]))
+
+
+def encode(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text") -> DataFrame:
+    """Columns of ``docs`` without the text, plus ``ids`` (binary: little-endian unsigned 32-bit integers)."""
+    shared, identity = docs.sparkSession.sparkContext.broadcast(ranks), _identity(ranks)  # one vocabulary
+
+    def work() -> Callable[[pa.Array], list[list]]:
+        pack = _packer(identity, shared.value, pattern)
+        return lambda texts: [pack(texts)]
+
+    return _add(docs, quoted(text_col).cast("string"), text_col, {"ids": T.BinaryType()}, work)
+
+
+def round_trip(docs: DataFrame, ranks: dict[bytes, int], pattern: str, text_col: str = "text") -> DataFrame:
+    """:func:`encode` and :func:`decode` by one worker: columns of ``docs`` without the text, plus ``ids`` and ``decoded``."""
+    shared, identity = docs.sparkSession.sparkContext.broadcast(ranks), _identity(ranks)
+
+    def work() -> Callable[[pa.Array], list[list]]:
+        pack, vocabulary = _packer(identity, shared.value, pattern), _vocabulary(identity, shared.value)
+
+        def both(texts: pa.Array) -> list[list]:
+            packed = pack(texts)
+            return [packed, list(map(vocabulary.text, packed))]
+
+        return both
+
+    return _add(docs, quoted(text_col).cast("string"), text_col, {"ids": T.BinaryType(), "decoded": T.StringType()}, work)
 
 
 class Utf8Machine:
@@ -318,8 +384,13 @@ class Vocabulary:
         yield "".join(map(self.texts.__getitem__, ids[done:].tolist()))
 
 
-def _vocabulary(ranks: dict[bytes, int]) -> Vocabulary:
-    key = ("vocabulary", len(ranks), hash(frozenset(ranks.items())))
+    def text(self, packed: bytes | None) -> str:
+        """Text of packed ids."""
+        return "".join(self.stream(np.frombuffer(packed or b"", "<u4")))
+
+
+def _vocabulary(identity: tuple, ranks: dict[bytes, int]) -> Vocabulary:
+    key = ("vocabulary", identity)
     if key not in _built:
         _built[key] = Vocabulary(ranks)
     return _built[key]
@@ -327,19 +398,13 @@ def _vocabulary(ranks: dict[bytes, int]) -> Vocabulary:
 
 def decode(encoded: DataFrame, ranks: dict[bytes, int], ids_col: str = "ids") -> DataFrame:
     """Columns of ``encoded`` plus ``decoded`` (string)."""
-    shared = encoded.sparkSession.sparkContext.broadcast(ranks)
-    kept = keep_columns(encoded, "decoded")
-    plain = encoded.select(*kept, quoted(ids_col).alias("__llm_ids"))
+    shared, identity = encoded.sparkSession.sparkContext.broadcast(ranks), _identity(ranks)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _vocabulary(shared.value)
-        for batch in slices(batches):
-            ids = batch.column(batch.num_columns - 1)
-            texts = ["".join(vocabulary.stream(np.frombuffer(i.as_py() or b"", "<u4"))) for i in ids]
-            yield pa.RecordBatch.from_arrays([*batch.columns[:-1], pa.array(texts, pa.string())], names=[*batch.schema.names[:-1], "decoded"])
+    def work() -> Callable[[pa.Array], list[list]]:
+        vocabulary = _vocabulary(identity, shared.value)
+        return lambda ids: [[vocabulary.text(i.as_py()) for i in ids]]
 
-    schema = T.StructType([*plain.schema.fields[:-1], T.StructField("decoded", T.StringType())])
-    return map_arrow(plain, run, schema)
+    return _add(encoded, quoted(ids_col), "decoded", {"decoded": T.StringType()}, work)
 
 
 def token_count(ids: str = "ids"):

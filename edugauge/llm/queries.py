@@ -195,8 +195,7 @@ def vocabulary(spark: SparkSession) -> tuple[dict[bytes, int], str]:
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document encoded and decoded again."""
     ranks, pattern = vocabulary(spark)
-    encoded = bpe.encode(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
-    decoded = bpe.decode(encoded, ranks)
+    decoded = bpe.round_trip(table(spark, sf_dir, "documents").select("doc_id", "text"), ranks, pattern)
     return decoded.select("doc_id", bpe.token_count("ids").alias("n_tokens"), F.sha2("ids", 256).alias("ids_sha256"), sha(F.col("decoded")).alias("decoded_sha256"))
 
 
