@@ -12,12 +12,18 @@ from edugauge.llm import bpe, exact_dedup, mixing, ngram_join, queries, toxicity
 from edugauge.llm.common import crc_of_id, quoted, store
 
 
+def set_aside(docs: DataFrame) -> DataFrame:
+    """Columns that no stage reads under numbered names, so that no operator takes them for its own or writes over them."""
+    read = {"doc_id", "text", "source"}
+    return docs.toDF(*(c if c in read else f"__kept_{i}" for i, c in enumerate(docs.columns)))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with a toxicity below 0.5, by a model of the labelled ones among them that are not held out."""
-    model = toxicity.fit(docs, queries.table(spark, sf_dir, "labels"), crc_of_id("doc_id") % 5 == 0)
-    text = docs.withColumn("__llm_copy", F.col("text"))
-    scored = toxicity.score(text, model, text_col="__llm_copy")
-    return scored.filter("score < 0.5").select(*(quoted(c) for c in docs.columns))
+    apart = set_aside(docs)
+    model = toxicity.fit(apart, queries.table(spark, sf_dir, "labels"), crc_of_id("doc_id") % 5 == 0)
+    scored = toxicity.score(apart.withColumn("__llm_copy", F.col("text")), model, text_col="__llm_copy")
+    return scored.filter("score < 0.5").select(*(quoted(c) for c in apart.columns)).toDF(*docs.columns)
 
 
 def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -32,14 +38,15 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated so that the sources have equal shares."""
-    mixed = mixing.mix(docs, queries.MIX_WEIGHTS, epochs=1.0, seed=queries.MIX_SEED)
-    return mixed.select(*(quoted(c) for c in docs.columns))
+    apart = set_aside(docs)
+    mixed = mixing.mix(apart, queries.MIX_WEIGHTS, epochs=1.0, seed=queries.MIX_SEED)
+    return mixed.select(*(quoted(c) for c in apart.columns)).toDF(*docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every document, decoded again as a check of the round trip."""
     ranks, pattern = queries.vocabulary(spark)
-    decoded = bpe.decode(bpe.encode(docs, ranks, pattern), ranks)
+    decoded = bpe.round_trip(docs.select("doc_id", "source", "text"), ranks, pattern)
     return decoded.select("doc_id", "source", bpe.token_count("ids").alias("n_tokens"), "ids", queries.sha(F.col("decoded")).alias("decoded_sha256"))
 
 
