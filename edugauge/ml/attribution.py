@@ -9,8 +9,9 @@ variables, which is a bit mask; a coalition of the row with a background row rea
 neither breaks a condition in the variables it gives. So the weights of the background by leaf and
 mask, counted in one pass, give the mean score of every coalition over all background rows.
 
-Any other model, and sampled orders, are explained by expansion: rows by background profile and
-coalition are scored and summed with coefficients, which is rows times profiles times coalitions.
+A logistic model is explained in log-odds, where it is a sum over variables: the mean score of a coalition is the row's own terms
+of its variables plus the background's mean terms of the others, so every order of the variables gives the same value, the row's
+term minus the mean term. One aggregate over the background, one projection over the rows.
 """
 
 from __future__ import annotations
@@ -18,18 +19,20 @@ from __future__ import annotations
 import random
 from collections.abc import Iterator, Sequence
 from dataclasses import dataclass
+from functools import reduce
 from math import factorial
 
 import numpy as np
 import pandas as pd
 from pyspark.ml.classification import RandomForestClassificationModel
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from edugauge.ml.features import Preprocessor
 from edugauge.ml.models import Fitted
 from edugauge.operators.sampling import seeded_sample
-from edugauge.session import cut_lineage, scratch_path
+from edugauge.session import cut_lineage, scratch_path, ship_code
 
 #: Variables whose coalitions are enumerated at most (two to that power); more have to ask for another method.
 MOST_VARIABLES = 16
@@ -128,13 +131,18 @@ def variable_bits(fitted: Fitted) -> list[int]:
     return [1 << i for i, _ in enumerate(p.numeric)] + [1 << len(p.numeric) + i for i, c in enumerate(p.categorical) for _ in p.categories[c]]
 
 
-def forest_sums(fitted: Fitted, rows: DataFrame, row_id: str, others: DataFrame, variables: Sequence[str]) -> DataFrame:
+def forest_sums(
+    fitted: Fitted, rows: DataFrame, row_id: str, others: DataFrame, variables: Sequence[str], coefficients: dict[int, list[float]]
+) -> DataFrame:
     """``row_id, _own, base, prediction, _phi0, ...`` of every row, against ``others`` with a share ``_w`` each.
 
+    ``coefficients`` of coalitions that are not listed are 0.
+
     The background is never brought together: partitions count shares by leaf and mask. The explained
     rows are broadcast as one matrix, and each tree adds its part for all of them.
     """
     spark, n = rows.sparkSession, len(variables)
+    ship_code(spark)
     trees, bits = read_forest(fitted, spark), variable_bits(fitted)
     forest = spark.sparkContext.broadcast(trees)
 
@@ -159,8 +167,10 @@ def forest_sums(fitted: Fitted, rows: DataFrame, row_id: str, others: DataFrame,
     own = cut_lineage(rows.select(F.col(row_id).alias("row_id"), *variables))
     listed = fitted.preprocessor.transform(own).select("row_id", vector).toPandas()
     explained = spark.sparkContext.broadcast((listed["row_id"].to_numpy(), matrix(listed["f"])))
-    table = np.array([values for _, values in sorted(exact_coefficients(n).items())])
     full = (1 << n) - 1
+    table = np.zeros((full + 1, n))
+    for mask, values in coefficients.items():
+        table[mask] = values
 
     def add(part: pd.DataFrame) -> pd.DataFrame:
         ids, features = explained.value
@@ -186,39 +196,30 @@ def forest_sums(fitted: Fitted, rows: DataFrame, row_id: str, others: DataFrame,
     return sums.join(own.select("row_id", F.struct(*variables).alias("_own")), "row_id")
 
 
-def expanded_sums(fitted: Fitted, rows: DataFrame, row_id: str, others: DataFrame, variables: Sequence[str], table: dict[int, list[float]], score: str) -> DataFrame:
-    """The same columns for any model, by scoring every row with every background profile in every coalition."""
-    n = len(variables)
-    spread = (
-        rows.select(F.col(row_id).alias("row_id"), F.struct(*variables).alias("_own"))
-        .crossJoin(others.select(F.struct(*variables).alias("_other"), "_w"))
-        .withColumn("_mask", F.explode(F.array(*[F.lit(mask) for mask in sorted(table)])))
-    )
-    mixed = spread.select(
-        "row_id",
-        "_own",
-        "_w",
-        "_mask",
-        *[
-            F.when(F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0, F.col(f"_own.{v}")).otherwise(F.col(f"_other.{v}")).alias(v)
-            for i, v in enumerate(variables)
-        ],
-    )
-    scored = fitted.transform(mixed).select("row_id", "_own", "_w", "_mask", F.col(score).alias("_score"))
-    # One line per coalition: bounded by the number of masks above.
-    coefficients = rows.sparkSession.createDataFrame(
-        [(mask, *values) for mask, values in sorted(table.items())],
-        "_m int, " + ", ".join(f"_c{i} double" for i in range(n)),
-    )
-    weighted = scored.join(F.broadcast(coefficients), F.col("_mask") == F.col("_m"))
-    mean = F.col("_score") * F.col("_w")
-    full = (1 << n) - 1
-    return weighted.groupBy("row_id").agg(
-        F.first("_own").alias("_own"),
-        F.sum(F.when(F.col("_mask") == 0, mean)).alias("base"),
-        F.sum(F.when(F.col("_mask") == full, mean)).alias("prediction"),
-        *[F.sum(F.col(f"_c{i}") * mean).alias(f"_phi{i}") for i in range(n)],
-    )
+def additive_sums(
+    preprocessor: Preprocessor, coefficients: Sequence[float], intercept: float, rows: DataFrame, row_id: str, others: DataFrame
+) -> DataFrame:
+    """The same columns for a score that is ``intercept`` plus ``coefficients`` times the features, exactly."""
+    terms, start = [], 0
+    for _, slots in preprocessor.variables:
+        weights = F.array(*[F.lit(float(w)) for w in coefficients[start : start + slots]])
+        own = F.slice("_features", start + 1, slots)
+        terms.append(F.aggregate(F.zip_with(own, weights, lambda x, w: x * w), F.lit(0.0), lambda a, x: a + x))
+        start += slots
+    variables = preprocessor.numeric + preprocessor.categorical
+
+    def termed(df: DataFrame, *kept: Column) -> DataFrame:
+        vectors = preprocessor.transform(df).withColumn("_features", vector_to_array("features"))
+        return vectors.select(*kept, *[t.alias(f"_t{i}") for i, t in enumerate(terms)])
+
+    mean = termed(others, F.col("_w")).agg(*[F.sum(F.col(f"_t{i}") * F.col("_w")).alias(f"_m{i}") for i in range(len(terms))])
+    own = termed(rows, F.col(row_id).alias("row_id"), F.struct(*variables).alias("_own"))
+    added = lambda name: reduce(lambda a, b: a + b, [F.col(f"{name}{i}") for i in range(len(terms))], F.lit(float(intercept)))
+    # The means are one row.
+    return own.crossJoin(F.broadcast(mean)).select(
+        "row_id", "_own", added("_m").alias("base"), added("_t").alias("prediction"),
+        *[(F.col(f"_t{i}") - F.col(f"_m{i}")).alias(f"_phi{i}") for i in range(len(terms))],
+    )
 
 
 def shapley_values(
@@ -229,36 +230,41 @@ def shapley_values(
     background_keys: Sequence[str],
     background_rows: int | None = None,
     permutations: int | None = None,
-    score: str = "score",
     seed: int = 42,
 ) -> DataFrame:
-    """Long table ``(row_id, feature, phi, base, prediction)``.
+    """Long table ``(row_id, feature, phi, base, prediction)``: shares of the probability for forests, of the log-odds for logistic models.
 
     The background is all rows of the table ``background``, or a seeded sample of ``background_rows``
-    if a number is given. Exact over all coalitions unless a number of ``permutations`` is asked for: then an estimate
-    from so many seeded orders. Too many variables for the exact way raise. In both cases the
+    if a number is given. Exact over all coalitions unless a number of ``permutations`` is asked for: then forests get an estimate
+    from so many seeded orders. Too many variables for the tables of a forest raise. In all cases the
     values of a row add up to its prediction minus the mean background prediction. Explain
     distinct feature profiles rather than raw rows where rows repeat.
     """
     variables = fitted.preprocessor.numeric + fitted.preprocessor.categorical
     n = len(variables)
-    if permutations is None and n > MOST_VARIABLES:
-        raise ValueError(f"{n} variables have too many coalitions; ask for permutations")
+    is_forest = isinstance(fitted.model, RandomForestClassificationModel)
+    if is_forest and n > MOST_VARIABLES:
+        raise ValueError(f"{n} variables have too many coalitions")
     chosen = background
     if background_rows is not None:
         chosen = seeded_sample(background.select(*dict.fromkeys([*background_keys, *variables])), background_keys, background_rows, seed)
     # Equal rows are one profile with their share of all rows.
     profiles = cut_lineage(chosen.groupBy(*variables).agg(F.count(F.lit(1)).alias("_n")))
     others = profiles.withColumn("_w", F.col("_n") / profiles.agg(F.sum("_n")).scalar())
-    if permutations is None and score == "score" and isinstance(fitted.model, RandomForestClassificationModel):
-        sums = forest_sums(fitted, rows, row_id, others, variables)
+    if is_forest:
+        coefficients = exact_coefficients(n) if permutations is None else sampled_coefficients(n, permutations, seed)
+        sums = forest_sums(fitted, rows, row_id, others, variables, coefficients)
     else:
-        table = exact_coefficients(n) if permutations is None else sampled_coefficients(n, permutations, seed)
-        sums = expanded_sums(fitted, rows, row_id, others, variables, table, score)
+        sums = additive_sums(fitted.preprocessor, fitted.model.coefficients.toArray().tolist(), fitted.model.intercept, rows, row_id, others)
+    return long_values(sums, fitted.preprocessor)
+
+
+def long_values(sums: DataFrame, preprocessor: Preprocessor) -> DataFrame:
+    """One row per row and variable; categories are named ``column=value``."""
     entries = []
-    for i, v in enumerate(variables):
+    for i, v in enumerate(preprocessor.numeric + preprocessor.categorical):
         name = F.lit(v)
-        if v in fitted.preprocessor.categorical:
+        if v in preprocessor.categorical:
             name = F.concat(F.lit(f"{v}="), F.coalesce(F.col(f"_own.{v}").cast("string"), F.lit("null")))
         entries.append(F.struct(name.alias("feature"), F.col(f"_phi{i}").alias("phi")))
     return sums.select("row_id", F.inline(F.array(*entries)), "base", "prediction")

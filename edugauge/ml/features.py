@@ -6,11 +6,12 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import PipelineModel
-from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexer, VectorAssembler
-from pyspark.sql import Column, DataFrame
+from pyspark.ml.feature import OneHotEncoder, SQLTransformer, StringIndexerModel, VectorAssembler
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 
-from edugauge.operators.aggregates import _long, exact_quantiles
+from edugauge.operators.aggregates import _long, quantiles_of_counts
+from edugauge.session import cut_lineage
 
 # Role -> columns of the pupil fact. Every column has exactly one role.
 COLUMN_ROLES: dict[str, list[str]] = {
@@ -90,12 +91,6 @@ def model_frame(fact: DataFrame, features: Sequence[str], keys: Sequence[str], t
     )
 
 
-def medians(df: DataFrame, cols: Sequence[str]) -> dict[str, float]:
-    """Exact median per column; a column without any value gets 0."""
-    found = {row["column_name"]: row["value"] for row in exact_quantiles(df, cols, [0.5]).collect()} if cols else {}
-    return {c: float(found.get(c) or 0.0) for c in cols}
-
-
 def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Most frequent text per column, ``(column_name, value)``; among equals the smallest."""
     counts = (
@@ -108,10 +103,63 @@ def mode_table(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return best.select("column_name", "_best.value")
 
 
-def modes(df: DataFrame, cols: Sequence[str]) -> dict[str, str]:
-    """The modes as fill values; a column without any value gets the empty text."""
-    found = {row["column_name"]: row["value"] for row in mode_table(df, cols).collect()} if cols else {}
-    return {c: found.get(c, "") for c in cols}
+def fit_statistics(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
+    """What preprocessing has to know of a training frame, one row per column.
+
+    ``column_name, fill, mean, deviation`` of numbers (the median, and the population moments after filling) and ``mode,
+    categories`` of categories (the most frequent text, and all texts after filling, in ascending order). A column without
+    any value is filled with 0 or the empty text.
+
+    The frame is read once: equal rows are merged to profiles, profiles to counts by column and value, and every figure comes
+    from those counts. Scenarios take the columns they need from one table.
+    """
+    numeric, categorical = list(numeric), list(categorical)
+    profiles = train.groupBy(*dict.fromkeys(numeric + categorical)).agg(F.count(F.lit(1)).alias("_n"))
+    nothing = {"number": F.lit(None).cast("double"), "text": F.lit(None).cast("string")}
+    entries = [F.struct(F.lit(c).alias("column_name"), F.lit(True).alias("is_number"), F.col(c).cast("double").alias("number"), nothing["text"].alias("text")) for c in numeric]
+    entries += [F.struct(F.lit(c).alias("column_name"), F.lit(False).alias("is_number"), nothing["number"].alias("number"), F.col(c).cast("string").alias("text")) for c in categorical]
+    counts = cut_lineage(
+        profiles.select(F.inline(F.array(*entries)), "_n").groupBy("column_name", "is_number", "number", "text").agg(F.sum("_n").alias("_n"))
+    )
+    given = counts.filter("is_number and number is not null").select("column_name", F.col("number").alias("value"), "_n")
+    medians_ = quantiles_of_counts(given, [0.5]).select(F.col("column_name").alias("_name"), F.col("value").alias("_median"))
+    # One row per column: bounded by the features of a model.
+    numbers = counts.filter("is_number").join(F.broadcast(medians_), F.col("column_name") == F.col("_name"), "left")
+    fill = F.coalesce("_median", F.lit(0.0))
+    away = F.coalesce(F.col("number") - fill, F.lit(0.0))  # a filled value lies on the fill
+    rows = F.sum("_n")
+    shift = F.sum(away * F.col("_n")) / rows
+    spread = F.sqrt(F.greatest(F.lit(0.0), F.sum(away * away * F.col("_n")) / rows - shift * shift))
+    moments = numbers.groupBy("column_name").agg(F.max(fill).alias("fill"), (F.max(fill) + shift).alias("mean"), spread.alias("deviation"))
+    known = F.col("text").isNotNull()
+    listed = counts.filter("not is_number").groupBy("column_name").agg(
+        F.coalesce(F.min(F.when(known, F.struct(-F.col("_n"), F.col("text"))))["text"], F.lit("")).alias("mode"),
+        F.collect_set("text").alias("_texts"),  # the categories, which a model holds on the driver
+    )
+    texts = F.when(F.size("_texts") > 0, F.array_sort("_texts")).otherwise(F.array(F.lit("")))
+    listed = listed.select("column_name", "mode", texts.alias("categories"))
+    return moments.unionByName(listed, allowMissingColumns=True)
+
+
+@dataclass
+class Statistics:
+    """The rows of :func:`fit_statistics` by column: parameters of a model, on the driver."""
+
+    rows: dict[str, Row]
+
+    @classmethod
+    def of(cls, train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Statistics:
+        return cls({row["column_name"]: row for row in fit_statistics(train, numeric, categorical).collect()})
+
+    def number(self, column: str) -> tuple[float, float, float]:
+        """Fill, mean and deviation; of a frame without rows 0, 0 and 1."""
+        row = self.rows.get(column)
+        return (row["fill"], row["mean"] or 0.0, row["deviation"] or 1.0) if row else (0.0, 0.0, 1.0)
+
+    def texts(self, column: str) -> tuple[str, list[str]]:
+        """Fill and categories; of a frame without rows one empty category."""
+        row = self.rows.get(column)
+        return (row["mode"], list(row["categories"])) if row else ("", [""])
 
 
 @dataclass
@@ -131,55 +179,52 @@ class Preprocessor:
         """Expanded names in vector order: numbers, then ``column=value`` per category."""
         return self.numeric + [f"{c}={v}" for c in self.categorical for v in self.categories[c]]
 
+    @property
+    def variables(self) -> list[tuple[str, int]]:
+        """Original variables in vector order, each with the number of its slots."""
+        return [(c, 1) for c in self.numeric] + [(c, len(self.categories[c])) for c in self.categorical]
+
+
+#: Category of the empty text: a label must not be empty.
+EMPTY = " "
+
 
 def _number(value: float) -> str:
     return f"cast('{value!r}' AS DOUBLE)"
 
 
-def fit_preprocessor(train: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> Preprocessor:
+def fit_preprocessor(
+    train: DataFrame, numeric: Sequence[str], categorical: Sequence[str], statistics: Statistics | None = None
+) -> Preprocessor:
     """Median fill and standardisation for numbers, mode fill and one-hot for categories.
 
-    All figures come from ``train`` only. Only model parameters reach the driver: one median,
-    mean and deviation per number, one mode and the category list per category. A category
-    unseen in ``train`` becomes an all-zero block.
+    All figures come from ``train`` only, or from the ``statistics`` already taken of it. Only model parameters reach the
+    driver: one median, mean and deviation per number, one mode and the category list per category. A category unseen in
+    ``train`` becomes an all-zero block.
     """
     numeric, categorical = list(numeric), list(categorical)
-    fill, top = medians(train, numeric), modes(train, categorical)
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.lit(fill[c])) for c in numeric}
-    moments = (
-        train.agg(*[F.struct(F.avg(x).alias("m"), F.stddev_pop(x).alias("s")).alias(c) for c, x in filled.items()]).first()
-        if numeric
-        else {}
-    )
+    found = statistics or Statistics.of(train, numeric, categorical)
     exprs = ["*"]
     for c in numeric:
-        mean, deviation = moments[c]["m"] or 0.0, moments[c]["s"] or 1.0
-        value = f"coalesce(cast(`{c}` AS DOUBLE), {_number(fill[c])})"
+        fill, mean, deviation = found.number(c)
+        value = f"coalesce(cast(`{c}` AS DOUBLE), {_number(fill)})"
         exprs.append(f"({value} - {_number(mean)}) / {_number(deviation)} AS `{c}__num`")
+    categories: dict[str, list[str]] = {}
     for c in categorical:
-        text = top[c].replace("\\", "\\\\").replace("'", "\\'")
-        exprs.append(f"coalesce(cast(`{c}` AS STRING), '{text}') AS `{c}__cat`")
-    fill_stage = SQLTransformer(statement=f"SELECT {', '.join(exprs)} FROM __THIS__")
-    stages: list = [fill_stage]
+        mode, texts = found.texts(c)
+        categories[c] = list(dict.fromkeys(t or EMPTY for t in texts))
+        text = (mode or EMPTY).replace("\\", "\\\\").replace("'", "\\'")
+        exprs.append(f"coalesce(if(cast(`{c}` AS STRING) = '', '{EMPTY}', cast(`{c}` AS STRING)), '{text}') AS `{c}__cat`")
+    stages: list = [SQLTransformer(statement=f"SELECT {', '.join(exprs)} FROM __THIS__")]
     inputs = [f"{c}__num" for c in numeric]
-    categories: dict[str, list[str]] = {}
     if categorical:
-        prepared = fill_stage.transform(train.select(*dict.fromkeys(numeric + categorical)))
-        indexer = StringIndexer(
-            inputCols=[f"{c}__cat" for c in categorical],
-            outputCols=[f"{c}__idx" for c in categorical],
-            handleInvalid="keep",
-            stringOrderType="alphabetAsc",
-        ).fit(prepared)
-        # The extra index of unseen values is the last one, which dropLast turns into zeros.
-        encoder = OneHotEncoder(
-            inputCols=[f"{c}__idx" for c in categorical],
-            outputCols=[f"{c}__hot" for c in categorical],
-            dropLast=True,
-            handleInvalid="error",
-        ).fit(indexer.transform(prepared))
-        stages += [indexer, encoder]
-        inputs += [f"{c}__hot" for c in categorical]
-        categories = {c: list(labels) for c, labels in zip(categorical, indexer.labelsArray)}
+        names = {end: [f"{c}__{end}" for c in categorical] for end in ("cat", "idx", "hot")}
+        # One model per column: an array of lists would be filled up with null labels to the longest one.
+        indexers = [StringIndexerModel.from_labels(categories[c], f"{c}__cat", f"{c}__idx", handleInvalid="keep") for c in categorical]
+        # The extra index of unseen values is the last one, which dropLast turns into zeros. Sizes come from the columns' metadata.
+        none = train.sparkSession.createDataFrame([], ", ".join(f"`{c}` string" for c in names["cat"]))
+        encoder = OneHotEncoder(inputCols=names["idx"], outputCols=names["hot"], dropLast=True, handleInvalid="error")
+        stages += [*indexers, encoder.fit(PipelineModel(indexers).transform(none))]
+        inputs += names["hot"]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="error"))
     return Preprocessor(PipelineModel(stages), numeric, categorical, categories)

@@ -12,7 +12,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from edugauge.ml.features import Preprocessor, fit_preprocessor
+from edugauge.ml.features import Preprocessor, Statistics, fit_preprocessor
 from edugauge.operators.evaluation import binary_metrics, confusion, group_metrics
 
 # MLlib accepts no deeper tree; it stands for "no depth limit".
@@ -78,23 +78,44 @@ def fit_logistic(train: DataFrame, preprocessor: Preprocessor, params: Mapping)
 
 
 #: Split candidates of a continuous column; ``params`` may hold another number.
-MAX_BINS = 1024
+MAX_BINS = 128
+#: Memory of the node histograms of a task, in MB.
+HISTOGRAM_MB = 256
+#: Rows of a partition when trees are grown, at most and at least about: each partition adds a histogram of every node to the shuffle.
+FOREST_ROWS, FOREST_ROWS_LEAST = 1 << 16, 1 << 10
+
+
+def forest_frame(prepared: DataFrame, cores: int) -> DataFrame:
+    """``prepared`` in partitions that keep so many cores busy, or more if rows are many, or fewer if they are few."""
+    rows = prepared.count()
+    return prepared.repartition(max(1, -(-rows // FOREST_ROWS), min(cores, rows // FOREST_ROWS_LEAST)))
 
 
 def fit_forest(prepared: DataFrame, params: Mapping) -> Model:
-    """Weighted random forest. Rows are not merged here: bootstrap and leaf size count rows."""
-    estimator = RandomForestClassifier(weightCol="weight", featureSubsetStrategy="sqrt", maxBins=MAX_BINS, maxMemoryInMB=1024)
+    """Weighted random forest. Rows are not merged here: bootstrap and leaf size count rows.
+
+    Each row's node is kept from level to level, so tasks are not sent the trees grown so far.
+    """
+    estimator = RandomForestClassifier(
+        weightCol="weight", featureSubsetStrategy="sqrt", maxBins=MAX_BINS, maxMemoryInMB=HISTOGRAM_MB, cacheNodeIds=True, checkpointInterval=10
+    )
     return estimator.setParams(**params).fit(prepared)
 
 
-def fit(train: DataFrame, spec: Spec, numeric: Sequence[str], categorical: Sequence[str]) -> Fitted:
+def fit(
+    train: DataFrame, spec: Spec, numeric: Sequence[str], categorical: Sequence[str], statistics: Statistics | None = None
+) -> Fitted:
     """Fit preprocessing and classifier on a model frame (``label``, ``weight``, features)."""
-    preprocessor = fit_preprocessor(train, numeric, categorical)
+    preprocessor = fit_preprocessor(train, numeric, categorical, statistics)
     if spec.algorithm == "LogisticRegression":
         return Fitted(preprocessor, fit_logistic(train, preprocessor, spec.params))
     if spec.algorithm == "RandomForest":
-        prepared = preprocessor.transform(train).select("features", "label", "weight")
-        return Fitted(preprocessor, fit_forest(prepared, spec.params))
+        cores = train.sparkSession.sparkContext.defaultParallelism
+        prepared = forest_frame(preprocessor.transform(train).select("features", "label", "weight"), cores).persist()
+        try:
+            return Fitted(preprocessor, fit_forest(prepared, spec.params))
+        finally:
+            prepared.unpersist()
     raise ValueError(f"unknown algorithm {spec.algorithm}")
 
 
@@ -112,12 +133,15 @@ def compare(
 ) -> tuple[DataFrame, dict[tuple[str, str], Fitted]]:
     """Every algorithm in every feature scenario: metric rows and the fitted models.
 
-    ``train`` and ``test`` are read once per fit; hand in stored or checkpointed frames.
+    ``train`` and ``test`` are read once per fit; hand in stored or checkpointed frames. The figures that preprocessing needs
+    are taken once, for the columns of all scenarios.
     """
     rows, models = [], {}
+    columns = [list(dict.fromkeys(c for groups in scenarios.values() for c in groups[kind])) for kind in (0, 1)]
+    statistics = Statistics.of(train, *columns)
     for order, spec in enumerate(specs):
         for step, (scenario, (numeric, categorical)) in enumerate(scenarios.items()):
-            fitted = fit(train, spec, numeric, categorical)
+            fitted = fit(train, spec, numeric, categorical, statistics)
             models[(spec.label, scenario)] = fitted
             rows.append(
                 evaluate(fitted, test, weight).withColumns(

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import random
 from collections.abc import Mapping, Sequence
 from itertools import product
@@ -14,7 +15,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from edugauge.ml.features import fit_preprocessor
-from edugauge.ml.models import MAX_DEPTH, fit_forest
+from edugauge.ml.ledger import Ledger, fingerprint, trial_key
+from edugauge.ml.models import MAX_BINS, MAX_DEPTH, fit_forest, forest_frame
+from edugauge.ml.nested import nested_scores
 
 # Search spaces. A range excludes its upper bound.
 PUPIL_SPACE = {"numTrees": (100, 400), "maxDepth": [10, 15, 20, 30, MAX_DEPTH], "minInstancesPerNode": (10, 200)}
@@ -22,6 +25,9 @@ PUPIL_DRAWS = 10
 PUPIL_SAMPLE_ROWS = 300_000
 MUNICIPALITY_GRID = {"numTrees": [100, 200, 300], "maxDepth": [4, 6, 8, MAX_DEPTH], "minInstancesPerNode": [5, 20, 50]}
 
+#: Parameters whose smaller values are contained in a forest of larger ones.
+NESTED = ("numTrees", "maxDepth")
+
 
 def grid(space: Mapping[str, Sequence]) -> list[dict]:
     """Every combination of a grid."""
@@ -36,6 +42,17 @@ def draws(space: Mapping[str, Sequence], n: int, seed: int = 42) -> list[dict]:
     ]
 
 
+def families(params: Sequence[Mapping]) -> list[tuple[dict, list[dict]]]:
+    """Candidates that differ in the number of trees and the depth only, under the largest forest that holds them all."""
+    grouped: dict[str, list[dict]] = {}
+    for candidate in params:
+        rest = {k: v for k, v in candidate.items() if k not in NESTED}
+        members = grouped.setdefault(json.dumps(rest, sort_keys=True), [])
+        if candidate not in members:
+            members.append(dict(candidate))
+    return [({**members[0], **{k: max(m[k] for m in members) for k in NESTED}}, members) for members in grouped.values()]
+
+
 def search(
     df: DataFrame,
     params: Sequence[Mapping],
@@ -44,34 +61,62 @@ def search(
     fold: str = "fold",
     folds: int = 3,
     seed: int = 42,
-    parallelism: int = 2,
+    parallelism: int | None = None,
+    ledger: str | None = None,
 ) -> tuple[DataFrame, dict]:
     """Cross-validated ROC AUC per parameter set, best first, and the best parameters.
 
-    The fit is weighted, the score is not. Preprocessing depends on the fold only, so it is
-    fitted once per fold and shared by all parameter sets. Only one number per fit reaches the
-    driver.
+    The fit is weighted, the score is not. Preprocessing depends on the fold only, so it is fitted once per fold and shared by
+    all parameter sets. Candidates that differ in ``numTrees`` and ``maxDepth`` only are scored from one forest, the largest of
+    them (see :mod:`edugauge.ml.nested`): every candidate gets its own score on every row of every fold. Fits run side by side, as
+    many as leave no core idle. Only one number per candidate and fold reaches the driver.
+
+    ``ledger`` is a folder of finished trials: those of the same data, parameters and seed are read from there, and new ones are
+    added after each fit.
     """
-    evaluator = BinaryClassificationEvaluator(rawPredictionCol="probability", labelCol="label", numBins=0)
-    scores: list[list[float]] = [[] for _ in params]
+    spark = df.sparkSession
+    evaluator = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="label", numBins=0)
+    trials = Ledger(spark, ledger)
+    data = fingerprint(df) if ledger else ""
+    settings = {"seed": seed, "folds": folds, "numeric": list(numeric), "categorical": list(categorical), "bins": MAX_BINS}
+    key = lambda candidate, k: trial_key(data, candidate, k, settings)
     for k in range(folds):
+        open_families = []
+        for _, members in families(params):
+            members = [m for m in members if key(m, k) not in trials.known]
+            open_families += families(members) if members else []
+        if not open_families:
+            continue
         train, valid = df.filter(F.col(fold) != k), df.filter(F.col(fold) == k)
         preprocessor = fit_preprocessor(train, numeric, categorical)
-        fitted_on = preprocessor.transform(train).select("features", "label", "weight").persist()
+        cores = spark.sparkContext.defaultParallelism
+        share = max(1, cores // min(parallelism or cores, len(open_families)))
+        fitted_on = forest_frame(preprocessor.transform(train).select("features", "label", "weight"), share).persist()
         scored_on = preprocessor.transform(valid).select("features", "label").persist()
 
-        @inheritable_thread_target(df.sparkSession)
-        def one(candidate):
-            model = fit_forest(fitted_on, {"seed": seed, **candidate})
-            return evaluator.evaluate(model.transform(scored_on))
+        @inheritable_thread_target(spark)
+        def one(family):
+            largest, members = family
+            model = fit_forest(fitted_on, {"seed": seed, **largest})
+            cuts = [(m["numTrees"], m["maxDepth"]) for m in members]
+            scored = nested_scores(model, scored_on, cuts).persist()
+            try:
+                return [
+                    (key(m, k), m, k, evaluator.evaluate(scored.select(F.col(f"s{i}").alias("score"), F.col("label").cast("double"))))
+                    for i, m in enumerate(members)
+                ]
+            finally:
+                scored.unpersist()
 
         try:
-            with ThreadPool(parallelism) as pool:
-                for position, score in enumerate(pool.map(one, params)):
-                    scores[position].append(score)
+            side_by_side = parallelism or max(1, cores // fitted_on.rdd.getNumPartitions())
+            with ThreadPool(min(side_by_side, len(open_families))) as pool:
+                for finished in pool.imap_unordered(one, open_families):
+                    trials.add(finished)
         finally:
             fitted_on.unpersist()
             scored_on.unpersist()
+    scores = [[trials.known[key(p, k)] for k in range(folds)] for p in params]
     means = [fmean(s) for s in scores]
     ranks = [1 + sum(other > mean for other in means) for mean in means]
     names = list(params[0])
@@ -80,4 +125,4 @@ def search(
     ]
     schema = ", ".join(f"{n} int" for n in names) + ", mean_auc double, std_auc double, rank int"
     best = dict(params[means.index(max(means))])
-    return df.sparkSession.createDataFrame(rows, schema).orderBy("rank", *names), best
+    return spark.createDataFrame(rows, schema).orderBy("rank", *names), best

@@ -128,6 +128,11 @@ def exact_quantiles(
         .groupBy("column_name", "value")
         .agg(F.count(F.lit(1)).alias("_n"))
     )
+    return quantiles_of_counts(values, probabilities)
+
+
+def quantiles_of_counts(values: DataFrame, probabilities: Sequence[float]) -> DataFrame:
+    """:func:`exact_quantiles` of a stored table of counted values, ``(column_name, value, _n)``."""
     ranked = running_totals(values, "value", {"_upto": "_n"}, by="column_name", stored=True)
     sizes = values.groupBy("column_name").agg(F.sum("_n").alias("_size"))
     wanted = (

@@ -7,11 +7,14 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from edugauge.functions.labels import lookup
 from edugauge.functions.numeric import round_half_even
 from edugauge.session import cut_lineage
 
-RANGE_BUCKETS = 256
+#: Rows of a range of running totals, about, and ranges that share an offset of their own.
+RANGE_ROWS = 1 << 17
+RANGE_FANOUT = 1024
+#: Ranges whose offsets are broadcast at most.
+BROADCAST_RANGES = 1 << 16
 
 
 def latest_per_key(df: DataFrame, keys: Sequence[str], order: str) -> DataFrame:
@@ -73,53 +76,50 @@ def running_totals(
     totals: Mapping[str, str],
     by: str | None = None,
     descending: bool = False,
-    buckets: int = RANGE_BUCKETS,
+    range_rows: int = RANGE_ROWS,
     stored: bool = False,
 ) -> DataFrame:
     """Running sums (inclusive) over a table with distinct ``order`` values per ``by`` group.
 
-    ``totals`` maps new column -> summed column. A plain ordered window would sort all rows in
-    one task. Here the order axis is cut at approximate quantiles into ``buckets`` ranges:
-    ranges are summed, the sums of the (few) ranges give each range its offset, and the window
-    runs inside a range only.
+    ``totals`` maps new column -> summed column. A plain ordered window would sort all rows of a group in one task. Here rows are
+    dealt into ranges of about ``range_rows`` rows by ``by`` and ``order``, as many as the counted rows ask for, and stored with the
+    number of their range. Ranges are summed, and sums of ``RANGE_FANOUT`` ranges are summed again: a range's offset is the sums of
+    the groups of ranges before its own and of the ranges before it in its group. The window runs inside a range only.
 
-    Approximate quantiles may differ between two evaluations, which would place a row and its
-    offset differently. So the table is stored first (unless it is ``stored`` already), and the
-    cuts, fewer than ``buckets`` numbers per ``by`` value, are fixed before the rest is planned.
-    Where they fall affects balance, never the result.
-
-    ``by`` must have few distinct values (column names of a report, classes).
+    Neither the number of ranges nor that of ``by`` values is limited, and no cut reaches the driver or the plan. The table is
+    stored before it is dealt (unless it is ``stored`` already), because ranges are drawn from a sample of it. Where they
+    fall affects balance, never the result.
     """
     df = df if stored else cut_lineage(df)
     keys = [by] if by else []
-    cut_points = F.percentile_approx(order, [i / buckets for i in range(1, buckets)], 10 * buckets)
-    found = {tuple(row[:-1]): list(row[-1] or []) for row in df.groupBy(*keys).agg(cut_points).collect()}
-    if by:
-        cuts = lookup({key: F.array(*map(F.lit, points)) for (key,), points in found.items()}, by) if found else F.array()
-    else:
-        cuts = F.array(*map(F.lit, found.get((), [])))
-    placed = df.withColumn("_cuts", cuts)
-    placed = placed.withColumn("_range", F.lit(0))
-    # Number of cuts below the value by halving: one generated comparison per step.
-    step = 1 << ((buckets - 1).bit_length() - 1)
-    while step:
-        above = F.get("_cuts", F.col("_range") + (step - 1)) < F.col(order)
-        placed = placed.withColumn("_range", F.when(above, F.col("_range") + step).otherwise(F.col("_range")))
-        step >>= 1
-    placed = placed.drop("_cuts")
     direction = F.desc if descending else F.asc
+    parts = max(1, -(-df.count() // range_rows))
+    axis = [*map(F.asc, keys), direction(order)]
+    dealt = df.repartitionByRange(parts, *axis) if parts > 1 else df.coalesce(1)
+    placed = cut_lineage(dealt.withColumn("_range", F.spark_partition_id()))
+
     sums = {new: f"_sum_{i}" for i, new in enumerate(totals)}
     ranges = placed.groupBy(*keys, "_range").agg(*[F.sum(c).alias(sums[new]) for new, c in totals.items()])
-    # At most `buckets` rows per `by` value.
-    before = Window.partitionBy(*keys).orderBy(direction("_range")).rowsBetween(Window.unboundedPreceding, -1)
-    offset_keys = {k: f"_off_{k}" for k in (*keys, "_range")}
-    offsets = ranges.select(
-        *[F.col(k).alias(o) for k, o in offset_keys.items()],
-        *[F.coalesce(F.sum(s).over(before), F.lit(0)).alias(s) for s in sums.values()],
+    ranges = ranges.withColumn("_group", F.floor(F.col("_range") / RANGE_FANOUT))
+    groups = ranges.groupBy(*keys, "_group").agg(*[F.sum(s).alias(s) for s in sums.values()])
+
+    def before(table: DataFrame, within: Sequence[str], at: str, name: str) -> DataFrame:
+        """Per row of ``table`` the sums of the rows before it in its group."""
+        rows = Window.partitionBy(*within).orderBy(at).rowsBetween(Window.unboundedPreceding, -1)
+        earlier = [F.coalesce(F.sum(s).over(rows), F.lit(0)).alias(f"{s}{name}") for s in sums.values()]
+        return table.select(*[F.col(c).alias(f"{name}_{c}") for c in (*within, at)], *earlier)
+
+    in_group = before(ranges, [*keys, "_group"], "_range", "_off")
+    of_group = before(groups, keys, "_group", "_up")
+    met = [F.col(f"_off_{c}").eqNullSafe(F.col(f"_up_{c}")) for c in (*keys, "_group")]
+    offsets = in_group.join(of_group, met).select(
+        *[f"_off_{c}" for c in (*keys, "_range")], *[(F.col(f"{s}_off") + F.col(f"{s}_up")).alias(s) for s in sums.values()]
     )
+    if parts <= BROADCAST_RANGES and not keys:
+        offsets = F.broadcast(offsets)
     inside = Window.partitionBy(*keys, "_range").orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, 0)
     return (
-        placed.join(F.broadcast(offsets), [F.col(k) == F.col(o) for k, o in offset_keys.items()])
+        placed.join(offsets, [F.col(c).eqNullSafe(F.col(f"_off_{c}")) for c in (*keys, "_range")])
         .withColumns({new: F.sum(c).over(inside) + F.col(sums[new]) for new, c in totals.items()})
-        .drop("_range", *offset_keys.values(), *sums.values())
+        .drop("_range", *[f"_off_{c}" for c in (*keys, "_range")], *sums.values())
     )

@@ -6,6 +6,8 @@ import os
 import re
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -22,6 +24,7 @@ RECOMMENDED = {
 
 
 _own_folder: str | None = None
+_shipped: set[str] = set()
 
 
 def local_session(cores: int | str = 8, app: str = "edugauge", **conf: str) -> SparkSession:
@@ -71,3 +74,17 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     path = scratch_path(df.sparkSession, "stored")
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def ship_code(spark: SparkSession) -> None:
+    """Send this package's source to the Python workers, once for each application."""
+    app = spark.sparkContext.applicationId
+    if app in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    archive = Path(tempfile.mkdtemp(prefix="edugauge-code-")) / "edugauge_package.zip"
+    with zipfile.ZipFile(archive, "w") as target:
+        for path in sorted(root.rglob("*.py")):
+            target.write(path, path.relative_to(root.parent))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)

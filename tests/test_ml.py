@@ -5,8 +5,8 @@ from pyspark.sql import functions as F
 
 from edugauge.functions.dictionaries import STATE_REGIONS
 from edugauge.ml import attribution as shap
-from edugauge.ml import clustering, features, models, municipal, tuning
-from edugauge.operators import sampling
+from edugauge.ml import clustering, features, models, municipal, nested, tuning
+from edugauge.operators import evaluation, sampling
 
 
 @pytest.fixture(scope="module")
@@ -112,10 +112,41 @@ def test_attribution_takes_all_background_rows_and_the_leaf_sums_equal_the_expan
     phi = {(r["row_id"], r["feature"].split("=")[0]): r for r in shap.shapley_values(fitted, explained, "id", frame, ["id"]).collect()}
     assert len(phi) == 12 and all(r["base"] == pytest.approx(mean) for r in phi.values())
     others = frame.groupBy(*variables).agg((F.count(F.lit(1)) / 1200).alias("_w"))
-    for r in shap.expanded_sums(fitted, explained, "id", others, variables, shap.exact_coefficients(3), "score").collect():
+    for r in expanded_sums(fitted, explained, others, variables, shap.exact_coefficients(3)).collect():
         assert [phi[r["row_id"], v]["phi"] for v in variables] == pytest.approx([r[f"_phi{i}"] for i in range(3)], abs=1e-9)
 
 
+def expanded_sums(fitted, rows, others, variables, table):
+    """Brute force: every row scored with every background profile in every coalition."""
+    n, full = len(variables), (1 << len(variables)) - 1
+    spread = rows.select(F.col("id").alias("row_id"), F.struct(*variables).alias("_own")).crossJoin(others.select(F.struct(*variables).alias("_other"), "_w"))
+    spread = spread.withColumn("_mask", F.explode(F.array(*[F.lit(mask) for mask in sorted(table)])))
+    taken = [F.when(F.col("_mask").bitwiseAND(F.lit(1 << i)) != 0, F.col(f"_own.{v}")).otherwise(F.col(f"_other.{v}")).alias(v) for i, v in enumerate(variables)]
+    scored = fitted.transform(spread.select("row_id", "_own", "_w", "_mask", *taken))
+    coefficients = rows.sparkSession.createDataFrame([(m, *v) for m, v in sorted(table.items())], "_m int, " + ", ".join(f"_c{i} double" for i in range(n)))
+    mean = F.col("score") * F.col("_w")
+    return scored.join(coefficients, F.col("_mask") == F.col("_m")).groupBy("row_id").agg(
+        F.sum(F.when(F.col("_mask") == 0, mean)).alias("base"), F.sum(F.when(F.col("_mask") == full, mean)).alias("prediction"),
+        *[F.sum(F.col(f"_c{i}") * mean).alias(f"_phi{i}") for i in range(n)],
+    )
+
+
+def test_logistic_attribution_is_exact_in_log_odds(frame):
+    fitted = models.fit(frame, models.LOGISTIC, ["x"], ["region", "dep"])
+    rows = shap.shapley_values(fitted, frame.filter("id < 60"), "id", frame, ["id"]).collect()
+    margin = lambda p: np.log(p / (1 - p))
+    scores = {r["id"]: margin(r["score"]) for r in fitted.transform(frame).collect()}
+    for i in range(60):
+        own = [r for r in rows if r["row_id"] == i]
+        assert own[0]["prediction"] == pytest.approx(scores[i]) and own[0]["base"] == pytest.approx(np.mean(list(scores.values())))
+        assert sum(r["phi"] for r in own) == pytest.approx(own[0]["prediction"] - own[0]["base"], abs=1e-9)
+    # The value of x is its coefficient times its distance from the mean of the filled and scaled column, which is 0.
+    pdf = fitted.preprocessor.transform(frame.filter("id < 60")).select("id", vector_to_array("features").alias("f")).toPandas().set_index("id")
+    for r in rows:
+        if r["feature"] == "x":
+            assert r["phi"] == pytest.approx(fitted.model.coefficients[0] * pdf.f[r["row_id"]][0], abs=1e-9)
+
+
 def municipal_tables(spark):
     rng = np.random.default_rng(1)
     states = ["CE", "SP", "PA", "RS"]
@@ -173,3 +204,95 @@ def test_best_restart_has_lowest_cost(spark):
     many = clustering.best_of_restarts(vectors, 3, restarts=3).summary.trainingCost
     one = clustering.best_of_restarts(vectors, 3, restarts=1).summary.trainingCost
     assert many <= one + 1e-9
+
+
+def walked(tree, depth):
+    """Score of a tree at the features ``f`` if it stops at ``depth``, sibling leaves of equal prediction folded, node by node."""
+
+    def end(i, level):
+        if tree["left"][i] < 0 or level >= depth:
+            return True
+        left, right = tree["left"][i], tree["right"][i]
+        return end(left, level + 1) and end(right, level + 1) and tree["prediction"][left] == tree["prediction"][right]
+
+    def score(f):
+        i, level = 0, 0
+        while not end(i, level):
+            split = tree["split"][i]
+            value, listed = f[split["featureIndex"]], split["leftCategoriesOrThreshold"]
+            goes_left = value <= listed[0] if split["numCategories"] < 0 else value in listed
+            i, level = tree["left" if goes_left else "right"][i], level + 1
+        return tree["p"][i]
+
+    return score
+
+
+def test_nested_scores_are_those_of_the_cut_trees(spark, frame, tmp_path):
+    fitted = models.fit(frame, models.forest({"numTrees": 6, "maxDepth": 12, "minInstancesPerNode": 3}), ["x"], ["region", "dep"])
+    rows = fitted.preprocessor.transform(frame.filter("id < 200")).select("features", "label").persist()
+    cuts = [(6, 30), (6, 12), (3, 12), (6, 2), (2, 3), (1, 1)]
+    whole = nested.nested_scores(fitted.model, rows, cuts)
+    fitted.model.save(str(tmp_path / "m"))
+    nodes = spark.read.parquet(str(tmp_path / "m/data")).select("treeID", "nodeData.*").toPandas().sort_values(["treeID", "id"])
+    trees = []
+    for _, own in nodes.groupby("treeID"):
+        own = own.reset_index(drop=True)
+        trees.append({
+            "left": own.leftChild, "right": own.rightChild, "prediction": own.prediction,
+            "p": [s[1] / sum(s) for s in own.impurityStats], "split": own.split,
+        })
+    vectors = [r[0] for r in rows.select(vector_to_array("features")).collect()]
+    expected = sorted(tuple(round(float(np.mean([walked(t, depth)(f) for t in trees[:n]])), 9) for n, depth in cuts) for f in vectors)
+    assert sorted(tuple(round(r[f"s{i}"], 9) for i in range(len(cuts))) for r in whole.collect()) == expected
+    direct = sorted(round(r["score"], 9) for r in fitted.transform(frame.filter("id < 200")).select("score").collect())
+    assert direct == sorted(e[0] for e in expected)
+
+
+def test_nested_and_direct_fits_agree(frame):
+    """AUC within 0.02 of a forest that is fitted with the parameters themselves: as far apart as forests of two seeds are."""
+    train, test = sampling.stratified_split(frame, "label", ["id"], 0.3)
+    cuts = [(40, 3), (80, 3), (40, 12), (80, 12)]
+    deep = models.fit(train, models.forest({"numTrees": 80, "maxDepth": 12, "minInstancesPerNode": 10}), ["x"], ["region", "dep"])
+    rows = deep.preprocessor.transform(test).select("features", "label")
+    scored = nested.nested_scores(deep.model, rows, cuts).persist()
+    for i, (trees, depth) in enumerate(cuts):
+        direct = models.fit(train, models.forest({"numTrees": trees, "maxDepth": depth, "minInstancesPerNode": 10}), ["x"], ["region", "dep"])
+        expected = models.evaluate(direct, test, None).first()["roc_auc"]
+        found = evaluation.roc_auc(scored, "label", f"s{i}").first()["roc_auc"]
+        assert found == pytest.approx(expected, abs=0.02)
+
+
+def test_interrupted_search_goes_on_without_repeating_a_fit(frame, tmp_path, monkeypatch):
+    folded = sampling.stratified_folds(frame, "label", ["id"], 3)
+    grid = [{"numTrees": n, "maxDepth": d, "minInstancesPerNode": m} for n in (3, 5) for d in (2, 4) for m in (5, 50)]
+    fits, real = [], tuning.fit_forest
+
+    def counted(prepared, params):
+        if len(fits) == 3 and not fits.count("resumed"):
+            raise RuntimeError("the cluster is gone")
+        fits.append(params)
+        return real(prepared, params)
+
+    monkeypatch.setattr(tuning, "fit_forest", counted)
+    ledger = str(tmp_path / "ledger")
+    with pytest.raises(RuntimeError, match="gone"):
+        tuning.search(folded, grid, ["x"], ["region"], parallelism=1, ledger=ledger)
+    assert len(fits) == 3
+    fits[:] = ["resumed"]
+    table, best = tuning.search(folded, grid, ["x"], ["region"], parallelism=1, ledger=ledger)
+    assert len(fits) == 1 + 3  # six forests in all: two leaf sizes by three folds
+    assert table.count() == 8
+    again, same = tuning.search(folded, grid, ["x"], ["region"], ledger=ledger)
+    assert len(fits) == 4 and same == best and again.collect() == table.collect()
+    tuning.search(folded.filter("id < 900"), grid[:1], ["x"], ["region"], ledger=ledger)  # other data, other trials
+    assert len(fits) == 7
+
+
+def test_statistics_of_odd_columns(spark):
+    rows = [(None, 1.0, None, "b"), (None, 2.0, None, "b"), (None, None, None, None), (None, 10.0, None, "a")]
+    df = spark.createDataFrame(rows, "empty double, some double, blank string, text string")
+    found = features.Statistics.of(df, ["empty", "some"], ["blank", "text"])
+    assert found.number("empty") == (0.0, 0.0, 1.0) and found.number("some") == pytest.approx((2.0, 3.75, np.std([1, 2, 2, 10])))
+    assert found.texts("blank") == ("", [""]) and found.texts("text") == ("b", ["a", "b"])
+    none = features.fit_preprocessor(df.limit(0), ["some"], ["text"])
+    assert none.transform(df).select("features").count() == 4
