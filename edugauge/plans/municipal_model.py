@@ -12,6 +12,7 @@ from edugauge.ml import clustering, models, municipal, tuning
 from edugauge.ml.attribution import shapley_values
 from edugauge.ml.features import GOAL_CATEGORICAL, GOAL_NUMERIC, PROFILE_FEATURES
 from edugauge.operators import attribution, evaluation, sampling
+from edugauge.operators.aggregates import alert_counts
 from edugauge.session import cut_lineage
 
 # Label years of the temporal split, profile year, seed.
@@ -50,11 +51,13 @@ def explain(fitted: models.Fitted, train: DataFrame, test: DataFrame, background
     return attribution.importance_by_variable(importance)
 
 
-def tune(train: DataFrame, test: DataFrame, candidates: Sequence[dict] | None = None, folds: int = 5) -> dict[str, DataFrame]:
-    """Grid search on the train year; the winner on the untouched test year."""
+def tune(
+    train: DataFrame, test: DataFrame, candidates: Sequence[dict] | None = None, folds: int = 5, ledger: str | None = None
+) -> dict[str, DataFrame]:
+    """Grid search on the train year; the winner on the untouched test year. ``ledger`` is a folder of finished trials."""
     folded = cut_lineage(sampling.stratified_folds(train, "label", KEYS, folds, SEED))
     table, best = tuning.search(
-        folded, candidates or tuning.grid(tuning.MUNICIPALITY_GRID), GOAL_NUMERIC, GOAL_CATEGORICAL, folds=folds, seed=SEED
+        folded, candidates or tuning.grid(tuning.MUNICIPALITY_GRID), GOAL_NUMERIC, GOAL_CATEGORICAL, folds=folds, seed=SEED, ledger=ledger
     )
     fitted = models.fit(train, models.forest(best, SEED), GOAL_NUMERIC, GOAL_CATEGORICAL)
     return {"search": table, "metrics": models.evaluate(fitted, test, weight=None)}
@@ -70,6 +73,7 @@ def risk(
     ranking = cut_lineage(ranking)
     return {
         "ranking": ranking,
+        "alerts": alert_counts(ranking, ["ALERTA_F1_OTIMO", "ALERTA_RECALL_80"]),
         "top": sampling.top_k(ranking, "PROBABILIDADE_RISCO_NAO_ATINGIR_META", 15, ["CO_MUNICIPIO"]),
         "agreement": municipal.risk_agreement(ranking, levels, year),
     }

@@ -68,13 +68,14 @@ def tune(
     sample_rows: int = tuning.PUPIL_SAMPLE_ROWS,
     candidates: Sequence[dict] | None = None,
     folds: int = 3,
+    ledger: str | None = None,
 ) -> dict[str, DataFrame]:
-    """Random search on a stratified sample; the winner is refitted on all of ``train``."""
+    """Random search on a stratified sample; the winner is refitted on all of ``train``. ``ledger`` is a folder of finished trials."""
     candidates = candidates or tuning.draws(tuning.PUPIL_SPACE, tuning.PUPIL_DRAWS, SEED)
     numeric, categorical = ft.feature_groups(True)
     sample = sampling.stratified_sample(train, "label", keys, sample_rows, SEED)
     folded = cut_lineage(sampling.stratified_folds(sample, "label", keys, folds, SEED))
-    table, best = tuning.search(folded, candidates, numeric, categorical, folds=folds, seed=SEED)
+    table, best = tuning.search(folded, candidates, numeric, categorical, folds=folds, seed=SEED, ledger=ledger)
     fitted = models.fit(train, models.forest(best, SEED), numeric, categorical)
     by_state = models.group_report(fitted, test, "SG_UF")
     return {

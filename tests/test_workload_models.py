@@ -16,7 +16,11 @@ from workloads import models as workload
         ("goal_thresholds", "municipal_model", "goal_model", ("train", "test")),
         ("goal_grid_search", "municipal_model", "tune", ("train", "test")),
         ("risk_model", "municipal_model", "risk", ("goals", "external", "levels")),
+        ("risk_alerts", "municipal_model", "risk", ("goals", "external", "levels")),
+        ("risk_agreement", "municipal_model", "risk", ("goals", "external", "levels")),
         ("kmeans_k", "municipal_model", "clusters", ("goals", "external")),
+        ("cluster_by_region", "municipal_model", "clusters", ("goals", "external")),
+        ("cluster_members", "municipal_model", "clusters", ("goals", "external")),
         ("cluster_profile", "municipal_model", "clusters", ("goals", "external")),
     ],
 )

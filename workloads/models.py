@@ -90,6 +90,13 @@ def goal_thresholds(spark, sf):
     return reports["thresholds"]
 
 
+@query("goal_explain")
+def goal_explain(spark, sf):
+    train, test = municipal_model.split(*_goals(spark, sf))
+    _, best = municipal_model.goal_model(train, test)
+    return municipal_model.explain(best, train, test)
+
+
 @query("goal_grid_search")
 def goal_grid_search(spark, sf):
     train, test = municipal_model.split(*_goals(spark, sf))
@@ -102,6 +109,18 @@ def risk_model(spark, sf):
     return municipal_model.risk(*_goals(spark, sf), levels)["ranking"]
 
 
+@query("risk_alerts")
+def risk_alerts(spark, sf):
+    levels = gold_frame(spark, sf, "ANALISE_NIVEIS_MUNICIPIO")
+    return municipal_model.risk(*_goals(spark, sf), levels)["alerts"]
+
+
+@query("risk_agreement")
+def risk_agreement(spark, sf):
+    levels = gold_frame(spark, sf, "ANALISE_NIVEIS_MUNICIPIO")
+    return municipal_model.risk(*_goals(spark, sf), levels)["agreement"]
+
+
 @query("kmeans_k")
 def kmeans_k(spark, sf):
     return municipal_model.clusters(*_goals(spark, sf))["scores"]
@@ -110,3 +129,13 @@ def kmeans_k(spark, sf):
 @query("cluster_profile")
 def cluster_profile(spark, sf):
     return municipal_model.clusters(*_goals(spark, sf))["profile"]
+
+
+@query("cluster_by_region")
+def cluster_by_region(spark, sf):
+    return municipal_model.clusters(*_goals(spark, sf))["by_region"]
+
+
+@query("cluster_members")
+def cluster_members(spark, sf):
+    return municipal_model.clusters(*_goals(spark, sf))["members"]
