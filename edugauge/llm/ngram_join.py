@@ -88,10 +88,9 @@ def prefix_size(n: int, num: int, den: int) -> int:
 
 
 def universes(n: int, num: int, den: int) -> list[int]:
-    """Size classes whose order A a set of ``n`` tokens takes part in: its own, and the next if a partner may lie there."""
+    """Size classes whose order A a set of ``n`` tokens takes part in: its own, and each larger one that a partner may lie in."""
     own = sum(n >= least for least, _ in CLASSES) - 1
-    last = own + 1 < len(CLASSES) and n * den >= num * CLASSES[own + 1][0]
-    return [own, own + 1] if last else [own]
+    return [c for c in range(own, len(CLASSES)) if c == own or n * den >= num * CLASSES[c][0]]
 
 
 def _signatures(shingle: int, num: int, den: int):
