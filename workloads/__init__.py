@@ -2,7 +2,7 @@
 
 from importlib import import_module
 
-MODULES = ("columns", "tables", "statistics", "scoring", "samples", "layers", "model_parts", "models")
+MODULES = ("columns", "tables", "statistics", "scoring", "samples", "layers", "raw_files", "model_parts", "models")
 
 
 def load_all() -> None:
