@@ -233,3 +233,18 @@ def test_attribution_rollups(spark):
     assert {r["variable"]: r["importance"] for r in attribution.importance_by_variable(importance).collect()} == pytest.approx({"c": 0.375, "n": 0.2})
     cats = spark.createDataFrame([("r1", "a"), ("r2", "b"), ("r3", "unseen")], "id string, c string")
     assert rows(attribution.effect_by_category(phi, cats, "id", "c")) == [("a", 1, 0.5), ("b", 1, -0.25)]
+
+
+@pytest.mark.parametrize("descending", [False, True])
+def test_running_totals_over_many_ranges_and_groups_of_ranges(spark, monkeypatch, descending):
+    """Ranges of a few rows, groups of three ranges, a class with most of the rows, and a null class."""
+    monkeypatch.setattr(windows, "RANGE_FANOUT", 3)
+    rng = random.Random(8)
+    rows = [(k, float(x), rng.randrange(5), rng.randrange(9)) for k, n in (("a", 150), ("b", 12), ("c", 1), (None, 9)) for x in rng.sample(range(1000), n)]
+    df = spark.createDataFrame(rows, "k string, x double, n long, m long").repartition(3)
+    got = windows.running_totals(df, "x", {"upto": "n", "others": "m"}, by="k", descending=descending, range_rows=7).collect()
+    assert sorted(got[0].asDict()) == ["k", "m", "n", "others", "upto", "x"] and len(got) == len(rows)
+    for r in got:
+        before = [s for s in rows if s[0] == r["k"] and (s[1] >= r["x"] if descending else s[1] <= r["x"])]
+        assert (r["upto"], r["others"]) == (sum(s[2] for s in before), sum(s[3] for s in before))
+    assert windows.running_totals(df.limit(0), "x", {"upto": "n"}).count() == 0
