@@ -1,10 +1,12 @@
 """Resharding by minimum-cost flow.
 
 The corpus lies in old shards; the new ones shall hold equal numbers of rows (at most one apart). Rows that need not move
-stay. Which old shard gives how many rows of which size, and which new shard takes one row more, is a minimum-cost
-flow over blocks (old shard and size class) with a row's bytes as the cost of moving it. It is solved on the driver:
-its size depends on the numbers of shards and size classes, not on the corpus. Within an old shard the
-smallest rows move first, so the transfer moves the fewest bytes.
+stay. How many rows each old shard gives, and which new shard takes one row more, is a minimum-cost flow over blocks of
+rows with a row's bytes as the cost of moving it. Within an old shard the smallest rows move first, so only one choice is
+open for each: whether the row just below the ``base`` largest ones moves, ``base`` being the rows that every new shard
+has at least. That row is a block of its own, priced by its real size; the smaller rows and the larger ones are the two other blocks. A
+block's mean price does not fall with the rank, so the transfer moves the fewest bytes. The flow is solved on the
+driver: three blocks a shard, whatever the corpus.
 
 The plan is applied with ranks that need no window: the old layout is written once, in the order of shard, size and
 id, one file a task, so a row's rank in its shard is its position in its file plus an offset of that file. Shards that
@@ -76,7 +78,7 @@ class Flow:
 
 
 def plan(blocks: dict[tuple[int, int], tuple[int, int]], new_shards: int) -> tuple[dict[int, int], dict[int, int]]:
-    """From ``(old shard, size class) -> (rows, bytes)``: rows that leave each old shard, rows that each new one takes in."""
+    """From ``(old shard, block) -> (rows, bytes)``, blocks in ascending order of their rows' sizes: rows that leave each old shard, rows that each new one takes in."""
     total = sum(rows for rows, _ in blocks.values())
     base, more = divmod(total, new_shards)
     flow = Flow()
@@ -135,29 +137,24 @@ def reshard(docs: DataFrame, old_shard: Column, new_shards: int, id_col: str = "
     placed.repartitionByRange(parallelism(spark), *order).sortWithinPartitions(*order).write.option("compression", "zstd").parquet(path)
     old = spark.read.schema(placed.schema).parquet(path).select("*", F.col("_metadata.file_name").alias("__llm_file"), F.col("_metadata.row_index").alias("__llm_row"))
 
-    # size class: the number of bits of the size; a file holds few shards and classes, as rows are sorted
-    kind = F.length(F.bin("__llm_size"))
-    found = old.groupBy("__llm_file", "__llm_old", kind.alias("kind")).agg(
-        F.min("__llm_row").alias("first"), F.count(F.lit(1)).alias("rows"), F.sum("__llm_size").alias("bytes")
-    ).collect()
-    blocks, counts, files = defaultdict(lambda: (0, 0)), defaultdict(int), defaultdict(lambda: [1 << 62, 0])
-    for r in found:
-        rows, size = blocks[r["__llm_old"], r["kind"]]
-        blocks[r["__llm_old"], r["kind"]] = (rows + r["rows"], size + r["bytes"])
+    # a file holds few shards, as rows are sorted
+    found = old.groupBy("__llm_file", "__llm_old").agg(F.min("__llm_row").alias("first"), F.count(F.lit(1)).alias("rows")).collect()
+    counts, offsets = defaultdict(int), []
+    for r in sorted(found, key=lambda r: (r["__llm_old"], int(r["__llm_file"].split("-")[1]), r["__llm_file"])):
+        offsets.append((r["__llm_file"], r["__llm_old"], counts[r["__llm_old"]] - r["first"]))
         counts[r["__llm_old"]] += r["rows"]
-        entry = files[r["__llm_old"], int(r["__llm_file"].split("-")[1]), r["__llm_file"]]
-        entry[0], entry[1] = min(entry[0], r["first"]), entry[1] + r["rows"]
-    offsets, ranks = [], defaultdict(int)
-    for (shard, _, name), (first, rows) in sorted(files.items()):
-        offsets.append((name, shard, ranks[shard] - first))
-        ranks[shard] += rows
+
+    # this table and that of the moves grow with files and shards only
+    offset = F.broadcast(spark.createDataFrame(offsets, "__llm_file string, __llm_old int, __llm_offset long"))
+    ranked = old.join(offset, ["__llm_file", "__llm_old"]).withColumn("__llm_rank", F.col("__llm_row") + F.col("__llm_offset"))
+    edge = F.broadcast(spark.createDataFrame([(o, n - sum(counts.values()) // new_shards - 1) for o, n in counts.items()], "__llm_old int, __llm_edge long"))
+    block = F.signum(F.col("__llm_rank") - F.col("__llm_edge")).cast("int")
+    sums = ranked.join(edge, "__llm_old").groupBy("__llm_old", block.alias("block")).agg(F.count(F.lit(1)).alias("rows"), F.sum("__llm_size").alias("bytes"))
+    blocks = {(r["__llm_old"], r["block"]): (r["rows"], r["bytes"]) for r in sums.collect()}
     leaving, taking = plan(blocks, new_shards) if blocks else ({}, {})
     moves = transfers(counts, leaving, taking)
 
-    # both tables grow with files and shards only
-    offset = F.broadcast(spark.createDataFrame(offsets, "__llm_file string, __llm_old int, __llm_offset long"))
     move = F.broadcast(spark.createDataFrame(moves, "__llm_old int, __llm_from long, __llm_to long, shard int, __llm_slot long"))
-    ranked = old.join(offset, ["__llm_file", "__llm_old"]).withColumn("__llm_rank", F.col("__llm_row") + F.col("__llm_offset"))
     dealt = ranked.join(move, "__llm_old").filter("__llm_rank >= __llm_from and __llm_rank < __llm_to")
     dealt = dealt.select(*(quoted(n) for n in names), (F.col("__llm_slot") + F.col("__llm_rank") - F.col("__llm_from")).alias("slot"), "shard")
     changed = sorted({shard for shard, n in leaving.items() if n and shard < new_shards} | {shard for shard, n in taking.items() if n})
