@@ -7,7 +7,7 @@ is linear, the trained model folds into one number for each bucket, which is wha
 numbers of a text's bag, plus a bias.
 
 Training takes a bounded sample, ``max_docs`` labelled documents and ``max_bytes`` of text, chosen by hash in
-equal parts from both classes; it runs on the driver. A text that does not fit what is left of the bytes is passed over. Every document is scored, by its whole text.
+equal parts from both classes; it runs on the driver, once for the model and once a fold for the cut. A text that does not fit what is left of the bytes is passed over. Every document is scored, by its whole text.
 
 Defined cases: null and empty texts, and texts of blanks, have an empty bag and the score of the bias alone. Labels
 that are null, or whose document is missing, are ignored. A repeated id trains once, by its shortest text (the smallest hash among
@@ -119,62 +119,85 @@ def bag(text: str) -> tuple[np.ndarray, np.ndarray]:
     return buckets.astype(np.int32), (counts / max(1, counts.sum())).astype(np.float32)
 
 
-def train(texts: list[str], labels: list[int], dims: int = 8, steps: int = 16_000, batch: int = 32, rate: float = 1.0, least: float = 0.005, seed: int = 1) -> Model:
-    """Vectors and softmax by Adagrad over batches of equal parts of both classes.
+def _cut(logits: np.ndarray, labels: np.ndarray) -> float:
+    """The logit with the least error of both classes, in the middle of its gap."""
+    order = np.argsort(logits, kind="stable")
+    ranked = labels[order]
+    bad, good = np.concatenate([[0], np.cumsum(ranked)]), np.concatenate([[0], np.cumsum(1 - ranked)])
+    wrong = bad / bad[-1] + (good[-1] - good) / good[-1]
+    best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
+    edges = np.concatenate([[logits[order[0]] - 1], logits[order], [logits[order[-1]] + 1]])
+    return float((edges[best[0]] + edges[best[-1] + 1]) / 2)
 
-    Buckets met in less than a share ``least`` of the texts (3 texts at least) keep the zero vector, as do those never
-    met. The bias puts the cut with the least error of both classes, in the middle of its gap, at a score of 0.5.
-    """
+
+def _learn(bags: list, labels: np.ndarray, rows: np.ndarray, dims: int, steps: int, batch: int, rate: float, prior: float, seed: int) -> tuple[np.ndarray, float]:
+    """A number for each bucket and the offset, by Adagrad over batches of equal parts of both classes of ``rows``."""
     rng = np.random.default_rng(seed)
-    if len(set(labels)) < 2:
-        share = float(labels[0]) if labels else 0.0
-        return Model(np.zeros(1 << BUCKET_BITS, np.float32), 60.0 if share else -60.0)
-    bags, met = [], np.zeros(1 << BUCKET_BITS, np.int32)
-    for text in texts:
-        bags.append(bag(text))
-        met[bags[-1][0]] += 1
-    common = met >= max(3, least * len(texts))
-    for i, (b, s) in enumerate(bags):  # one by one, as the bags are the most that the driver holds
-        kept = common[b]
-        bags[i] = (b[kept], s[kept])
+    met = np.zeros(1 << BUCKET_BITS, np.float32)
+    for i in rows:
+        met[bags[i][0]] += 1
+    trust = met / (met + np.float32(prior))
     vectors = np.zeros((1 << BUCKET_BITS, dims), np.float32)
     softmax = (rng.standard_normal((dims, 2)) * 0.5).astype(np.float32)
-    offset = np.zeros(2, np.float32)
-    seen_v, seen_s = np.full(1 << BUCKET_BITS, 1e-7, np.float32), np.full(softmax.shape, 1e-2, np.float32)
-    by_class = [np.flatnonzero(np.array(labels) == c) for c in (0, 1)]
+    shift = 0.0
+    seen_v, seen_s = np.full(1 << BUCKET_BITS, 1e-7, np.float32), np.full(dims, 1e-2, np.float32)
+    by_class = [rows[labels[rows] == c] for c in (0, 1)]
+    truth = np.repeat((0, 1), batch // 2)
+    mark, place = np.zeros(1 << BUCKET_BITS, bool), np.zeros(1 << BUCKET_BITS, np.int32)
     for _ in range(steps // batch):
-        chosen = np.concatenate([rng.choice(by_class[c], batch // 2) for c in (0, 1)])
-        rows = [bags[i] for i in chosen]
-        sizes = np.array([len(b) for b, _ in rows])
-        buckets, shares = np.concatenate([b for b, _ in rows]), np.concatenate([s for _, s in rows])
-        owner = np.repeat(np.arange(batch), sizes)
-        weighted = vectors[buckets] * shares[:, None]
-        hidden = np.stack([np.bincount(owner, weighted[:, j], batch) for j in range(dims)], 1)
-        logit = hidden @ softmax + offset
-        p = np.exp(logit - logit.max(1, keepdims=True))
-        error = p / p.sum(1, keepdims=True)
-        error[np.arange(batch), np.repeat((0, 1), batch // 2)] -= 1
-        error /= batch
-        back = (error @ softmax.T)[owner] * shares[:, None]
-        slope_s = hidden.T @ error
-        seen_s += slope_s**2
-        softmax -= rate * slope_s / np.sqrt(seen_s)
-        offset -= 0.1 * error.sum(0)
-        touched, place = np.unique(buckets, return_inverse=True)
-        slope = np.stack([np.bincount(place, back[:, j], len(touched)) for j in range(dims)], 1)
-        seen_v[touched] += (slope**2).sum(1)
-        vectors[touched] -= rate * slope / np.sqrt(seen_v[touched])[:, None]
-    folded = vectors @ (softmax[:, 1] - softmax[:, 0])
-    model = Model(folded.astype(np.float32), float(offset[1] - offset[0]))
-    logits = np.array([float(s @ folded[b]) for b, s in bags])
-    order = np.argsort(logits)
-    ranked = np.array(labels)[order]
-    bad, good = np.concatenate([[0], np.cumsum(ranked)]), np.concatenate([[0], np.cumsum(1 - ranked)])
-    wrong = bad / bad[-1] + (good[-1] - good) / good[-1]
-    best = np.flatnonzero(wrong <= wrong.min() + 1e-12)
-    edges = np.concatenate([[logits[order[0]] - 1], logits[order], [logits[order[-1]] + 1]])
-    model.bias = -float((edges[best[0]] + edges[best[-1] + 1]) / 2)
-    return model
+        picked = [bags[i] for c in (0, 1) for i in rng.choice(by_class[c], batch // 2)]
+        buckets = np.concatenate([b for b, _ in picked])
+        shares = np.concatenate([s for _, s in picked]) * trust[buckets]
+        owner = np.repeat(np.arange(batch), [len(b) for b, _ in picked])
+        mark[buckets] = True
+        touched = np.flatnonzero(mark)
+        mark[touched] = False
+        place[touched] = np.arange(len(touched), dtype=np.int32)
+        at = place[buckets]
+        own, apart = vectors[touched], softmax[:, 1] - softmax[:, 0]
+        logit = np.bincount(owner, shares * (own @ apart)[at], batch) + shift
+        # with two classes the errors of both are opposite, so a bucket's slope is one number times ``apart``
+        error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - truth) / batch
+        pull = np.bincount(at, shares * error[owner], len(touched)).astype(np.float32)
+        slope = pull @ own
+        seen_s += slope**2
+        step = rate * slope / np.sqrt(seen_s)
+        softmax += np.stack([step, -step], 1)
+        shift -= 0.2 * error.sum()
+        seen_v[touched] += pull**2 * (apart @ apart)
+        vectors[touched] -= np.outer(rate * pull / np.sqrt(seen_v[touched]), apart)
+    return (vectors @ (softmax[:, 1] - softmax[:, 0]) * trust).astype(np.float32), float(shift)
+
+
+def train(texts: list[str], labels: list[int], dims: int = 8, steps: int = 16_000, batch: int = 32, rate: float = 1.0, prior: float = 1.0, folds: int = 3, seed: int = 1) -> Model:
+    """Vectors and softmax trained jointly, and the cut of the scores.
+
+    Every bucket met is learned. Its share of a bag is weighted by ``n / (n + prior)``, n being the training texts that
+    hold it, so that what one text alone holds is learned less than what many do. The bias puts the cut with the
+    least error of both classes at a score of 0.5; errors are counted on texts that a model of the other ``folds``
+    has not met (equal texts share a fold). With a class of fewer than two distinct texts the cut is that of the training texts.
+    """
+    known = np.array(labels, np.int64)
+    if len(set(labels)) < 2:
+        share = float(labels[0]) if labels else 0.0
+        return Model(np.zeros(1 << BUCKET_BITS, np.float32), 60.0 if share else -60.0)
+    bags = [bag(text) for text in texts]
+    options = (dims, steps, batch, rate, prior, seed)
+    everyone = np.arange(len(texts))
+    folded, offset = _learn(bags, known, everyone, *options)
+    fold = np.zeros(len(texts), np.int64)
+    for c in (0, 1):  # both classes are dealt out to all folds, equal texts to one
+        places: dict[str, int] = {}
+        for i in np.flatnonzero(known == c):
+            fold[i] = places.setdefault(texts[i], len(places)) % folds
+    logits = np.array([float(s @ folded[b]) + offset for b, s in bags])
+    if all(len(set(fold[known == c])) > 1 for c in (0, 1)):
+        for k in range(folds):
+            out, rest = everyone[fold == k], everyone[fold != k]
+            if len(out):
+                numbers, shift = _learn(bags, known, rest, *options)
+                logits[out] = [float(bags[i][1] @ numbers[bags[i][0]]) + shift for i in out]
+    return Model(folded, offset - _cut(logits, known))
 
 
 def training_rows(docs: DataFrame, labels: DataFrame, held_out: Column, id_col: str, text_col: str, max_docs: int, max_bytes: int) -> tuple[list[str], list[int]]:
