@@ -155,11 +155,11 @@ def _learn(bags: list, labels: np.ndarray, rows: np.ndarray, dims: int, steps: i
         place[touched] = np.arange(len(touched), dtype=np.int32)
         at = place[buckets]
         own, apart = vectors[touched], softmax[:, 1] - softmax[:, 0]
-        logit = np.bincount(owner, shares * (own @ apart)[at], batch) + shift
+        logit = np.bincount(owner, shares * np.einsum("ij,j->i", own, apart)[at], batch) + shift
         # with two classes the errors of both are opposite, so a bucket's slope is one number times ``apart``
         error = (1 / (1 + np.exp(-np.clip(logit, -60, 60))) - truth) / batch
         pull = np.bincount(at, shares * error[owner], len(touched)).astype(np.float32)
-        slope = pull @ own
+        slope = np.einsum("i,ij->j", pull, own)
         seen_s += slope**2
         step = rate * slope / np.sqrt(seen_s)
         softmax += np.stack([step, -step], 1)
