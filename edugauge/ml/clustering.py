@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from multiprocessing.pool import ThreadPool
 
+from pyspark import inheritable_thread_target
 from pyspark.ml.clustering import KMeans, KMeansModel
 from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import VectorAssembler
@@ -15,6 +17,10 @@ from edugauge.functions.labels import lookup
 from edugauge.ml.features import PROFILE_FEATURES
 from edugauge.operators.aggregates import crosstab, group_profile
 from edugauge.operators.joins import left_join_dim
+from edugauge.session import cut_lineage
+
+#: Rows of a partition of the vectors that are clustered, at most and about.
+CLUSTER_ROWS = 1 << 17
 
 
 def profile_table(goals_vs_results: DataFrame, external: DataFrame, year: int) -> DataFrame:
@@ -36,9 +42,32 @@ def standardised(df: DataFrame, features: Sequence[str]) -> DataFrame:
     return vector.transform(scaled).drop(*[f"_z_{c}" for c in features])
 
 
+def fits_side_by_side(vectors: DataFrame, starts: Sequence[tuple[int, int]]) -> list[KMeansModel]:
+    """A model for each ``(k, seed)`` of ``starts``, in their order.
+
+    An iteration is one short job, so one fit alone mostly waits for the scheduler. The vectors are stored once, in partitions of
+    about ``CLUSTER_ROWS`` rows, and as many fits run at a time as keep the cores busy: one when the rows alone do.
+    """
+    spark = vectors.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    features = vectors.select("features")
+    parts = max(1, -(-features.count() // CLUSTER_ROWS))
+    if parts > cores // 2:  # one fit at a time, on all cores
+        parts = max(parts, cores)
+    stored = cut_lineage(features.repartition(parts)).coalesce(parts)
+
+    @inheritable_thread_target(spark)
+    def one(start: tuple[int, int]) -> KMeansModel:
+        k, seed = start
+        return KMeans(k=k, seed=seed, maxIter=300, tol=1e-4).fit(stored)
+
+    with ThreadPool(min(max(1, cores // parts), len(starts))) as pool:
+        return pool.map(one, starts, chunksize=1)
+
+
 def best_of_restarts(vectors: DataFrame, k: int, restarts: int = 10, seed: int = 42) -> KMeansModel:
     """The restart with the lowest within-cluster cost."""
-    models = (KMeans(k=k, seed=seed + i, maxIter=300, tol=1e-4).fit(vectors) for i in range(restarts))
+    models = fits_side_by_side(vectors, [(k, seed + i) for i in range(restarts)])
     return min(models, key=lambda model: model.summary.trainingCost)
 
 
@@ -58,9 +87,12 @@ def choose_clusters(
     and is one linear pass. Plain Euclidean distance would compare every pair of rows.
     """
     evaluator = ClusteringEvaluator(distanceMeasure="squaredEuclidean")
+    # The largest k first: its fits take longest.
+    starts = [(k, seed + i) for k in range(k_max, k_min - 1, -1) for i in range(restarts)]
+    fitted = list(zip(starts, fits_side_by_side(vectors, starts)))
     best, rows = None, []
     for k in range(k_min, k_max + 1):
-        model = best_of_restarts(vectors, k, restarts, seed)
+        model = min((m for (size, _), m in fitted if size == k), key=lambda m: m.summary.trainingCost)
         score = evaluator.evaluate(model.transform(vectors))
         rows.append((k, score, model.summary.trainingCost))
         if best is None or score > best[0]:

@@ -1,3 +1,5 @@
+import threading
+
 import numpy as np
 import pytest
 from pyspark.ml.functions import vector_to_array
@@ -185,6 +187,22 @@ def test_municipal_chain(spark):
     assert risk["agreement"].first()["corr"] > 0.5
 
 
+def test_restarts_on_few_rows_run_side_by_side_and_keep_their_order(spark, monkeypatch):
+    met, made = threading.Barrier(2), clustering.KMeans
+
+    class Together(made):
+        def fit(self, vectors):
+            met.wait(timeout=60)  # broken if one fit waits for the end of another
+            return super().fit(vectors)
+
+    monkeypatch.setattr(clustering, "KMeans", Together)
+    vectors = clustering.standardised(spark.createDataFrame([(float(i), float(i % 7)) for i in range(60)], "a double, b double"), ["a", "b"])
+    assert [m.getK() for m in clustering.fits_side_by_side(vectors, [(3, 1), (2, 2)])] == [3, 2]
+    found = clustering.choose_clusters(vectors, 2, 3, restarts=2)
+    costs = {k: min(made(k=k, seed=42 + i, maxIter=300, tol=1e-4).fit(vectors).summary.trainingCost for i in range(2)) for k in (2, 3)}
+    assert [(r["k"], pytest.approx(r["cost"], rel=0.2)) for r in found.scores.collect()] == list(costs.items())
+
+
 def test_clusters_are_numbered_by_literacy_and_skip_incomplete_rows(spark):
     from edugauge.plans import municipal_model
 
