@@ -82,6 +82,44 @@ def test_search_space_and_ranking(frame):
     assert best == candidates[1] and [r["rank"] for r in rows] == [1, 2] and rows[0]["mean_auc"] > 0.6
 
 
+def test_forest_grown_in_parts_is_one_model_of_all_its_trees(frame, monkeypatch):
+    monkeypatch.setattr(models, "FOREST_TREES", 3)
+    met, made = threading.Barrier(2), models.RandomForestClassifier
+
+    class Together(made):
+        def fit(self, rows):
+            if self.getNumTrees() == 3:
+                met.wait(timeout=120)  # broken if one part waits for the end of another
+            return super().fit(rows)
+
+    monkeypatch.setattr(models, "RandomForestClassifier", Together)
+    params = {"numTrees": 8, "maxDepth": 4, "minInstancesPerNode": 5}
+    fitted = models.fit(frame, models.forest(params), ["x"], ["region"])
+    model = fitted.model
+    assert model.getNumTrees == len(model.trees) == 8 and len({t.toDebugString.split("\n", 1)[1] for t in model.trees}) > 4
+    rows = fitted.preprocessor.transform(frame).limit(20).select("features").collect()
+    for r in rows:
+        assert model.predictProbability(r["features"])[1] == pytest.approx(np.mean([t.predictProbability(r["features"])[1] for t in model.trees]))
+    again = models.fit(frame, models.forest(params), ["x"], ["region"]).model
+    assert again.toDebugString.split("\n", 1)[1] == model.toDebugString.split("\n", 1)[1]
+    assert models.evaluate(fitted, frame).first()["roc_auc"] > 0.6
+
+
+def test_evaluation_scores_the_rows_once(spark, frame, monkeypatch):
+    fitted = models.fit(frame, models.LOGISTIC, ["x"], ["region"])
+    scored = spark.sparkContext.accumulator(0)
+
+    def counted(score):
+        scored.add(1)
+        return score
+
+    plain = models.Fitted.transform
+    slow = F.udf(counted, "double")
+    monkeypatch.setattr(models.Fitted, "transform", lambda self, df: plain(self, df).withColumn("score", slow("score")))
+    assert models.evaluate(fitted, frame).first()["roc_auc"] > 0.6
+    assert scored.value == frame.count()
+
+
 @pytest.mark.parametrize("exact", [True, False])
 def test_attribution_adds_up_and_matches_brute_force(spark, frame, exact):
     fitted = models.fit(frame, models.forest({"numTrees": 5, "maxDepth": 4, "minInstancesPerNode": 5}), ["x"], ["region", "dep"])
