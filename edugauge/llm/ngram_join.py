@@ -14,7 +14,7 @@ Pairs that pass all orders and the length filter are verified by exact intersect
 that meet in pairs, so no task holds more than two blocks, and of verified pairs only a spanning forest of
 each task and the number of links of each set are passed on. Equal sets are one set with several members from the start.
 
-Tokens and sets are known by 64-bit hashes; that two of a corpus' sets collide has a chance of about n^2 / 2^65.
+Tokens and sets are known by 64-bit hashes (order A goes by 48 bits of its tokens); that two of a corpus' sets collide has a chance of about n^2 / 2^65.
 
 Defined cases: a null text, or one without words, has the empty set: no links, its own id as component. With fewer words
 than a shingle has, the whole sequence is one shingle. Null ids never name a component unless all of its ids are null. Rows that repeat an
@@ -39,6 +39,9 @@ SEEDS = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 #: Size classes of order A: smallest size, and the part of the hash range as a multiple of 1 - t. A prefix is (1 - t) of a set; small
 #: sets need a larger part for enough tokens of their own. The result is the same for any classes.
 CLASSES = ((1, 6.0), (64, 3.0), (256, 2.25))
+#: Bits of a token that order A drops: its tokens are shuffled twice, and zero bytes cost little. Any map of tokens to ordered values
+#: gives a valid order, so tokens that fall together only let a few more sets through to the checks of the whole sets.
+DROPPED = np.uint64(16)
 #: Sets of a block; a task holds two blocks.
 BLOCK = 512
 #: Columns of a dense piece of the token matrix.
@@ -95,6 +98,7 @@ def universes(n: int, num: int, den: int) -> list[int]:
 
 def _signatures(shingle: int, num: int, den: int):
     limits = [np.uint64(min(2**64 - 1, int(times * (1 - num / den) * 2.0**64))) for _, times in CLASSES]
+    dropped = DROPPED
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
@@ -106,7 +110,7 @@ def _signatures(shingle: int, num: int, den: int):
                 units.append([])
                 for c in universes(len(tokens), num, den) if len(tokens) else []:
                     size = max(need, int(np.searchsorted(tokens, limits[c], "right")))  # the hash order goes on where the part ends
-                    units[-1].append({"excess": size - need, "tokens": _mix(tokens[:size] ^ np.uint64(c)).view(np.int64)})
+                    units[-1].append({"excess": size - need, "tokens": (_mix(tokens[:size] ^ np.uint64(c)) >> dropped).view(np.int64)})
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["_id"], "n": pa.array([len(s) for s in sets], pa.int32()), "set_id": pa.array(ids, pa.int64()),
                 "units": pa.array(units, pa.list_(pa.struct([("excess", pa.int32()), ("tokens", pa.list_(pa.int64()))]))),
