@@ -10,6 +10,7 @@ from edugauge.ml import clustering, municipal
 from edugauge.ml.features import PROFILE_FEATURES, mode_table
 from edugauge.operators.quality import table_profile
 from edugauge.plans import silver as silver_plan
+from edugauge.session import cut_lineage
 from workloads.registry import query
 from workloads.standin import duck, external_frame, gold_frame, relation, silver_frame, silver_frames
 
@@ -257,8 +258,9 @@ _EXTERNAL = "x.RENDA_PER_CAPITA_MEDIA, x.MEDIA_INSE, x.PC_FAMILIAS_POBREZA, x.PC
 
 
 def _meta_and_external(spark, sf):
+    """The goals table, stored because the lagged dataset reads it twice, and the external dimension."""
     external = external_frame(spark, sf).withColumn("MEDIA_INSE", fn.round_half_even("MEDIA_INSE", 6))
-    return gold_frame(spark, sf, "FT_INDICADOR_MUNICIPIO_META_VS_RESULTADO"), external
+    return cut_lineage(gold_frame(spark, sf, "FT_INDICADOR_MUNICIPIO_META_VS_RESULTADO")), external
 
 
 @query(
