@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from edugauge.functions import title_case
 from edugauge.session import compile_wide_projections
-from workloads import standin
+from workloads import layers, standin
 
 SF = "/root/testdata/sf0.001"
 LIMIT = "spark.sql.codegen.hugeMethodLimit"
@@ -28,3 +28,13 @@ def test_titles_with_numbers_and_marks(spark):
     rows = spark.createDataFrame([(k,) for k in names], "c string").select("c", title_case("c").alias("t"), title_case(F.upper("c")).alias("u")).collect()
     assert {r["c"]: r["t"] for r in rows} == names
     assert {r["c"]: r["u"] for r in rows} == names
+
+
+def test_goals_read_twice_are_stored(spark):
+    goals, _ = layers._meta_and_external(spark, SF)
+    assert goals.inputFiles() and all("/stored-" in f for f in goals.inputFiles())
+
+
+def test_pupil_fact_joins_a_stored_state_table(spark):
+    files = standin.gold_frame(spark, SF, "FT_MACHINE_LEARNING").inputFiles()
+    assert any("/stored-" in f for f in files)
