@@ -38,3 +38,17 @@ def test_goals_read_twice_are_stored(spark):
 def test_pupil_fact_joins_a_stored_state_table(spark):
     files = standin.gold_frame(spark, SF, "FT_MACHINE_LEARNING").inputFiles()
     assert any("/stored-" in f for f in files)
+
+
+def test_pupils_are_dealt_before_they_are_grouped_by_town(spark, monkeypatch):
+    monkeypatch.setattr(standin, "GROUP_ROWS", 500, raising=False)
+    towns = standin.relation(spark, SF, "municipio_groups")
+    placed = towns.select("ck", "ano", F.spark_partition_id().alias("part")).collect()
+    parts = {}
+    for r in placed:
+        parts.setdefault((r["ck"], r["ano"]), set()).add(r["part"])
+    # as many tasks as the rows ask for, not as the session has shuffle partitions; a town's year is in one of them
+    assert len({r["part"] for r in placed}) > int(spark.conf.get("spark.sql.shuffle.partitions"))
+    assert all(len(p) == 1 for p in parts.values())
+    plain = spark.sql(standin.ctes(standin.SPARK, "SELECT * FROM municipio_groups"))
+    assert sorted(towns.collect()) == sorted(plain.collect())
